@@ -1,0 +1,67 @@
+"""Jobs that build the layers as saved tables, in the order bronze, silver, gold."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from autostrata import seeds
+from autostrata.config import BRONZE, FLEET_TABLE, GOLD, MUNICIPALITY_TABLE, SILVER, TABLE_FORMAT
+from autostrata.plans import gold, silver
+from autostrata.sources import full_load, read_fleet, read_municipalities, save_table, use_layer
+from autostrata.sources.files import Paths
+
+
+def build_bronze(
+    spark: SparkSession,
+    fleet_paths: Paths,
+    municipality_paths: Paths,
+    table_format: str = TABLE_FORMAT,
+) -> None:
+    """Full loads of the fleet files and the municipality list."""
+    use_layer(spark, BRONZE)
+    full_load(read_fleet(spark, fleet_paths), FLEET_TABLE, table_format)
+    full_load(read_municipalities(spark, municipality_paths), MUNICIPALITY_TABLE, table_format)
+
+
+def build_silver(spark: SparkSession, table_format: str = TABLE_FORMAT) -> None:
+    """The three dimensions, then the fact over the saved dimensions, partitioned by month."""
+    use_layer(spark, SILVER)
+    fleet, states = spark.table(FLEET_TABLE), seeds.states(spark)
+    dimensions = {
+        "dim_municipio": silver.dim_municipio(spark.table(MUNICIPALITY_TABLE), states),
+        "dim_combustivel": silver.dim_combustivel(seeds.fuels(spark)),
+        "dim_data": silver.dim_data(fleet),
+    }
+    for name, frame in dimensions.items():
+        save_table(frame, f"{SILVER}.{name}", table_format)
+    saved = [spark.table(f"{SILVER}.{name}") for name in dimensions]
+    fact = silver.fato_frota(fleet, states, *saved)
+    save_table(fact, f"{SILVER}.fato_frota", table_format, partition_by=["id_data"])
+
+
+def gold_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """The gold tables by name, over the saved silver layer."""
+    fact = spark.table(f"{SILVER}.fato_frota")
+    places = spark.table(f"{SILVER}.dim_municipio")
+    fuels = spark.table(f"{SILVER}.dim_combustivel")
+    return {
+        "frota_eletrica_e_hibrida_evolucao": gold.frota_eletrica_e_hibrida_evolucao(
+            fact, places, fuels
+        ),
+        "frota_eletrica_evolucao": gold.frota_eletrica_evolucao(fact, places, fuels),
+        "frota_por_grupo_combustivel_regiao": gold.frota_por_grupo_combustivel_regiao(
+            fact, places, fuels
+        ),
+        "frota_qualidade_dados": gold.frota_qualidade_dados(fact, places, fuels),
+        "frota_municipio_ranking": gold.frota_municipio_ranking(fact, places, fuels),
+        "frota_por_regiao": gold.frota_por_regiao(fact, places),
+        "frota_por_estado_mes": gold.frota_por_estado_mes(fact, places),
+        "frota_flex_vs_combustao": gold.frota_flex_vs_combustao(fact, places, fuels),
+    }
+
+
+def build_gold(spark: SparkSession, table_format: str = TABLE_FORMAT) -> None:
+    """Overwrite all gold tables."""
+    use_layer(spark, GOLD)
+    for name, frame in gold_tables(spark).items():
+        save_table(frame, f"{GOLD}.{name}", table_format)
