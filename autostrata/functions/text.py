@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _decomposable_letters() -> dict[str, str]:
-    """Letters of the basic plane that NFD splits into one other letter and nonspacing marks."""
-    pairs = {}
-    for code in range(0xC0, 0x10000):
-        letter = chr(code)
-        decomposed = unicodedata.normalize("NFD", letter)
-        base = "".join(c for c in decomposed if unicodedata.category(c) != "Mn")
-        if len(base) == 1 and base != letter:
-            pairs[letter] = base
-    return pairs
+# Code points with canonical decompositions or nonspacing marks lie in these planes.
+_PLANES = (range(0x80, 0x20000), range(0x2F800, 0x2FA20), range(0xE0100, 0xE01F0))
 
 
-_LETTERS = _decomposable_letters()
-_FROM = "".join(_LETTERS)
-_TO = "".join(_LETTERS.values())
+def _accent_table() -> tuple[str, str]:
+    """Arguments for ``translate``: letters to replace, then marks to delete; replacements."""
+    letters, marks = {}, []
+    for code in itertools.chain(*_PLANES):
+        char = chr(code)
+        kept = [c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"]
+        if not kept:
+            marks.append(char)
+        elif len(kept) == 1 and kept[0] != char:
+            letters[char] = kept[0]
+    return "".join([*letters, *marks]), "".join(letters.values())
+
+
+_FROM, _TO = _accent_table()
 
 
 def _as_column(c: Column | str) -> Column:
@@ -32,12 +36,12 @@ def _as_column(c: Column | str) -> Column:
 def strip_accents(c: Column | str) -> Column:
     """Text without accents: NFD decomposition with nonspacing marks dropped, case kept.
 
-    Precomposed letters are replaced through a table built from the Unicode database, marks that
-    stand alone are removed afterwards. NULL stays NULL; letters without a decomposition (đ, ß, ø)
-    are kept. Hangul syllables, which NFD splits into several letters, and letters outside the
-    basic plane are left as they are.
+    One pass with a table built from the Unicode database; text without any accent skips it. NULL
+    stays NULL, and letters without a decomposition (đ, ß, ø) are kept. Left as they are: Hangul
+    syllables and the few signs that NFD splits into several letters.
     """
-    return F.regexp_replace(F.translate(_as_column(c), _FROM, _TO), r"\p{Mn}", "")
+    text = _as_column(c)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, _FROM, _TO)).otherwise(text)
 
 
 def normalize_name(c: Column | str) -> Column:

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from autostrata.staging import materialize
+from autostrata.staging import materialize, materialize_counted
 
 # Largest frame that one task numbers by itself; anything beyond is numbered range by range.
 ONE_TASK_ROWS = 1_000_000
 
-# Copies of one row that a single task puts out again after they were counted.
-COPIES_PER_TASK = 100_000
-
 # monotonically_increasing_id: partition number above this bit, row number in the partition below.
 _ROW_BITS = 33
 
@@ -28,33 +25,29 @@ def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     The frame is written once and counted; a small one is numbered by a window, a larger one by
     ``range_key``. Both give the same numbers.
     """
-    staged = materialize(df, "unnumbered")
-    if staged.count() <= ONE_TASK_ROWS:
+    staged, rows = materialize_counted(df, "unnumbered")
+    if rows <= ONE_TASK_ROWS:
         return window_key(staged, name, order)
     return range_key(staged, name, order).withColumn(name, F.col(name).cast("int"))
 
 
-def range_key(
-    df: DataFrame,
-    name: str,
-    order: list[str],
-    unique: bool = False,
-    copies_per_task: int = COPIES_PER_TASK,
-) -> DataFrame:
+def range_key(df: DataFrame, name: str, order: list[str], unique: bool = False) -> DataFrame:
     """Add ``name`` (bigint) to a frame of any size; no task sees more than its own range.
 
     The rows are range-partitioned and sorted, written with their position, and each range's
     offset (the number of rows before it) is joined in: one short row per range. Columns outside
     ``order`` break ties, so the numbering does not depend on how the rows were distributed.
-    Equal rows are counted before the shuffle and put out again by many tasks, so not even a
-    third of all rows being copies of one row makes a hot range. ``unique=True`` skips that step
-    for rows known to differ.
+
+    Copies of one row may be any share of all rows, so they must not share a range: each partition
+    is sorted beforehand and the place of a row in it is the last part of the range key. As equal
+    rows are interchangeable, a repeated task arrives at the same keys. ``unique=True`` skips that
+    sort for rows known to differ.
     """
     columns = df.columns
     sort = order + [c for c in columns if c not in order]
     if not unique:
-        df = _numbered_copies(df, copies_per_task)
-        sort = sort + ["_copy"]
+        df = df.sortWithinPartitions(*sort).withColumn("_tie", F.monotonically_increasing_id())
+        sort = sort + ["_tie"]
     placed = (
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
@@ -72,22 +65,3 @@ def range_key(
     return staged.join(F.broadcast(offsets), "_range").select(
         *columns, (F.col("_offset") + in_range + 1).alias(name)
     )
-
-
-def _numbered_copies(df: DataFrame, copies_per_task: int) -> DataFrame:
-    """``df`` with a ``_copy`` number that tells equal rows apart."""
-    columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    few = counted.where(F.col("_n") <= copies_per_task).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_copy")
-    )
-    last = F.floor((F.col("_n") - 1) / copies_per_task)
-    first = F.col("_chunk") * copies_per_task + 1
-    many = (
-        counted.where(F.col("_n") > copies_per_task)
-        .select(*columns, "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_chunk"))
-        .repartition(*columns, "_chunk")
-        .withColumn("_end", F.least(F.col("_n"), first + (copies_per_task - 1)))
-        .select(*columns, F.explode(F.sequence(first, "_end")).alias("_copy"))
-    )
-    return few.unionByName(many)

@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
+    """The distinct combinations of ``columns``, as a base for costly expressions on them.
+
+    A filter on an expression over plain ``distinct()`` columns is moved below the aggregation by
+    the optimizer, even one it infers from a later join, and then the expression runs for every
+    row. Here the columns depend on the group's count, so such filters stay above it and the
+    expression runs once per value.
+    """
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    return counted.select(*(F.when(F.col("_n") > 0, F.col(c)).alias(c) for c in columns))
+
+
 def unique_lookup(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """One row per key with its values; the query fails if a key occurs twice.
 

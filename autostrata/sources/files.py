@@ -16,6 +16,8 @@ MUNICIPALITY_SCHEMA = (
     "nm_municipio_formatted string, sigla_uf string"
 )
 
+FLEET_COLUMNS = [field.split()[0] for field in FLEET_SCHEMA.split(", ")]
+
 Paths = str | list[str]
 
 
@@ -69,13 +71,14 @@ def select_years(df: DataFrame, years: list[int] | None = None, year: str = "nr_
 
 
 def write_yearly(df: DataFrame, path: str, year: str = "nr_ano") -> None:
-    """CSV output with one folder per year.
+    """Fleet rows as CSV with one folder per year, columns in the declared order.
 
     Rows are rebalanced by year first: small years share tasks and a large year is split over
     many, so there are neither tiny files nor one task writing a whole year.
     """
     (
-        df.hint("rebalance", year)
+        df.select(*FLEET_COLUMNS, year)
+        .hint("rebalance", year)
         .write.mode("overwrite")
         .partitionBy(year)
         .options(header="true", encoding="UTF-8")

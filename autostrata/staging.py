@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -36,7 +37,13 @@ def staging_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet in the staging folder and return a scan of the copy."""
+    return materialize_counted(df, label)[0]
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``materialize``, with the number of rows, which is observed while writing."""
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), rows.get["n"]

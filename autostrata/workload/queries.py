@@ -23,13 +23,12 @@ from autostrata.sources import (
     use_layer,
     write_yearly,
 )
+from autostrata.sources.files import FLEET_COLUMNS
 from autostrata.staging import materialize, staging_path
 from autostrata.workload import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FLEET_COLUMNS = ["nm_uf", "nm_municipio", "nm_combustivel", "qtd_veiculos", "nm_file"]
-
 
 class Silver(NamedTuple):
     """Dimensions and the keyed fleet rows of one run."""
