@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,14 +24,16 @@ def unique_lookup(df: DataFrame, keys: list[str], values: list[str]) -> DataFram
     A left join with the result keeps the row count of its left side. Rows with a NULL key are
     left out, since they can never match. The check runs inside the plan, on the lookup side only.
     """
-    complete = df.dropna(subset=keys)
-    single = complete.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min(F.struct(*values)).alias("_v")
+    single = (
+        df.dropna(subset=keys)
+        .groupBy(*keys)
+        .agg(F.count("*").alias("_n"), *(F.min(v).alias(v) for v in values))
     )
     message = F.concat(
         F.lit(f"lookup key ({', '.join(keys)}) is not unique: "), F.to_json(F.struct(*keys))
     )
-    checked = single.select(
-        *keys, F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_v")).alias("_v")
-    )
-    return checked.select(*keys, "_v.*")
+
+    def checked(value: str) -> Column:
+        return F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(value)).alias(value)
+
+    return single.select(*keys, *map(checked, values))

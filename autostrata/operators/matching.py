@@ -57,8 +57,10 @@ def closest_names(
         F.col(block).alias("_block"), F.col(name).alias("nm_candidato"), "_v", "_key"
     )
     distance = F.levenshtein(F.col(name), F.col("nm_candidato"), max_distance)
+    # Each name has many strings, which size estimates ignore: never broadcast them.
     pairs = (
-        left.join(right, "_key")
+        left.hint("merge")
+        .join(right, "_key")
         .where(F.col(block) == F.col("_block"))
         .withColumn("nr_distancia", distance)
         .where(F.col("nr_distancia") >= 0)
