@@ -7,10 +7,30 @@ from pyspark.sql import DataFrame, SparkSession
 from autostrata import seeds
 from autostrata.config import BRONZE, FLEET_TABLE, GOLD, MUNICIPALITY_TABLE, SILVER, TABLE_FORMAT
 from autostrata.plans import gold, silver
-from autostrata.sources import full_load, read_fleet, read_municipalities, save_table, use_layer
+from autostrata.sources import (
+    consolidate,
+    full_load,
+    read_fleet,
+    read_municipalities,
+    save_table,
+    use_layer,
+    write_yearly,
+)
 from autostrata.sources.files import Paths
 
 
+def consolidate_years(
+    spark: SparkSession, root: str, output: str, years: list[int] | None = None
+) -> None:
+    """Monthly CSV files in one folder per year into one output per year, with file names.
+
+    Without ``years``, every folder named by a number is taken, and all files share a header.
+    Listed years may differ in their columns, which are aligned by name.
+    """
+    layouts = [f"{root}/[0-9]*"] if years is None else [f"{root}/{year}" for year in years]
+    write_yearly(consolidate(spark, layouts, year="nr_ano"), output, columns=None)
+
+
 def build_bronze(
     spark: SparkSession,
     fleet_paths: Paths,

@@ -48,18 +48,27 @@ def read_municipalities(
     return _delimited(spark, paths, MUNICIPALITY_SCHEMA, malformed, sep=";", encoding="ISO-8859-1")
 
 
-def consolidate(spark: SparkSession, layouts: list[Paths], provenance: str = "nm_file") -> DataFrame:
+def consolidate(
+    spark: SparkSession,
+    layouts: list[Paths],
+    provenance: str = "nm_file",
+    year: str | None = None,
+) -> DataFrame:
     """One frame from CSV files with differing headers, columns aligned by name.
 
     Each entry of ``layouts`` (a path, glob or list of paths) holds the files that share a header
-    and is read in one scan, however many files it matches. Columns missing in a layout are NULL.
-    All columns are strings; ``provenance`` is the plain name of the file a row comes from.
+    and is read in one scan, however many files it matches; a file with another header than the
+    first of its layout fails the query instead of shifting columns. Columns missing in a layout
+    are NULL. All columns are strings. ``provenance`` is the plain name of the file a row comes
+    from, and ``year``, on request, the number its folder is named by.
     """
     file_name = F.col("_metadata.file_name")
+    origin = [F.coalesce(F.try_url_decode(file_name), file_name).alias(provenance)]
+    if year is not None:
+        folder = F.regexp_extract("_metadata.file_path", r"/(\d+)/[^/]*$", 1)
+        origin.append(F.nullif(folder, F.lit("")).cast("int").alias(year))
     scans = [
-        spark.read.option("header", True)
-        .csv(paths)
-        .select("*", F.coalesce(F.try_url_decode(file_name), file_name).alias(provenance))
+        spark.read.options(header="true", enforceSchema="false").csv(paths).select("*", *origin)
         for paths in layouts
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
@@ -70,15 +79,17 @@ def select_years(df: DataFrame, years: list[int] | None = None, year: str = "nr_
     return df if years is None else df.where(F.col(year).isin(years))
 
 
-def write_yearly(df: DataFrame, path: str, year: str = "nr_ano") -> None:
-    """Fleet rows as CSV with one folder per year, columns in the declared order.
+def write_yearly(
+    df: DataFrame, path: str, year: str = "nr_ano", columns: list[str] | None = FLEET_COLUMNS
+) -> None:
+    """CSV output with one folder per year; by default the fleet columns in the declared order.
 
     Rows are rebalanced by year first: small years share tasks and a large year is split over
     many, so there are neither tiny files nor one task writing a whole year.
     """
+    chosen = df if columns is None else df.select(*columns, year)
     (
-        df.select(*FLEET_COLUMNS, year)
-        .hint("rebalance", year)
+        chosen.hint("rebalance", year)
         .write.mode("overwrite")
         .partitionBy(year)
         .options(header="true", encoding="UTF-8")

@@ -112,13 +112,15 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier and part, so Spark picks those joins by the size of the tables.
     """
     shipped = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_partkey", "l_quantity",
-        F.year("l_shipdate").alias("_year"), F.month("l_shipdate").alias("_month"),
+        "l_suppkey",
+        "l_partkey",
+        "l_quantity",
+        F.trunc(F.col("l_shipdate").cast("date"), "month").alias("_month"),
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     counts = (
         shipped.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_suppkey", "p_brand", "_year", "_month")
+        .groupBy("l_suppkey", "p_brand", "_month")
         .agg(F.sum("l_quantity").cast("int").alias("qtd_veiculos"))
     )
     month_names = F.array(*map(F.lit, seeds.MONTHS))
@@ -133,8 +135,11 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_brand").alias("nm_combustivel"),
             "qtd_veiculos",
             F.concat(
-                F.lit(FILE_PREFIX), month_names[F.col("_month") - 1], F.lit("_"),
-                F.col("_year").cast("string"), F.lit(".xlsx"),
+                F.lit(FILE_PREFIX),
+                month_names[F.month("_month") - 1],
+                F.lit("_"),
+                F.year("_month").cast("string"),
+                F.lit(".xlsx"),
             ).alias("nm_file"),
         )
     )

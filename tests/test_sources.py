@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from autostrata.plans import jobs
 from autostrata.sources import (
     consolidate,
     full_load,
@@ -93,6 +94,30 @@ def test_consolidate_aligns_by_name_and_names_the_file(spark, tmp_path):
     ]
 
 
+def test_consolidate_refuses_a_strange_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("uf,qtd\nAC,1\n")
+    (tmp_path / "b.csv").write_text("qtd,uf\n2,AL\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        consolidate(spark, [str(tmp_path)]).collect()
+
+
+@pytest.mark.parametrize("years", [None, [2024, 2025]])
+def test_consolidate_years(spark, tmp_path, years):
+    source, output = tmp_path / "raw", f"{tmp_path}/out"
+    for year, name in [(2024, "x_Abril_2024.csv"), (2024, "x_Maio_2024.csv"), (2025, "y.csv")]:
+        (source / str(year)).mkdir(parents=True, exist_ok=True)
+        (source / str(year) / name).write_text(f"uf,qtd\nAC,{year}\n")
+    (source / "notes").mkdir()
+    (source / "notes" / "n.csv").write_text("no,year\n1,2\n")
+    jobs.consolidate_years(spark, str(source), output, years)
+    written = spark.read.option("header", True).csv(output)
+    assert _rows(written.select("uf", "qtd", "nm_file", "nr_ano")) == [
+        ("AC", "2024", "x_Abril_2024.csv", 2024),
+        ("AC", "2024", "x_Maio_2024.csv", 2024),
+        ("AC", "2025", "y.csv", 2025),
+    ]
+
+
 def test_yearly_layout_prunes_folders(spark, tmp_path):
     rows = [("A", "B", "C", year, "f", year) for year in (2024, 2025, 2026) for _ in range(2)]
     # Columns in another order than the declared one must not end up in the wrong field.
