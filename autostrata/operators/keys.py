@@ -38,15 +38,16 @@ def range_key(df: DataFrame, name: str, order: list[str], unique: bool = False)
     offset (the number of rows before it) is joined in: one short row per range. Columns outside
     ``order`` break ties, so the numbering does not depend on how the rows were distributed.
 
-    Copies of one row may be any share of all rows, so they must not share a range: each partition
-    is sorted beforehand and the place of a row in it is the last part of the range key. As equal
-    rows are interchangeable, a repeated task arrives at the same keys. ``unique=True`` skips that
-    sort for rows known to differ.
+    Copies of one row may be any share of all rows, so they must not have to share a range: the
+    rows are written out once with a running number, which is the last part of the range key. The
+    copy fixes that number, so a repeated task arrives at the same ranges, and it spares the
+    sampling of the ranges from evaluating ``df`` a second time. ``unique=True`` is for rows known
+    to differ that are cheap to read twice.
     """
     columns = df.columns
     sort = order + [c for c in columns if c not in order]
     if not unique:
-        df = df.sortWithinPartitions(*sort).withColumn("_tie", F.monotonically_increasing_id())
+        df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "rows")
         sort = sort + ["_tie"]
     placed = (
         df.repartitionByRange(*sort)

@@ -47,7 +47,7 @@ def test_copies_of_one_row_are_spread_over_ranges(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert _rows(got) == _rows(_global_numbers(df, "n", ["a"]))
-    sizes = staged[0].groupBy(F.shiftright("_place", 33).alias("r")).count().collect()
+    sizes = staged[-1].groupBy(F.shiftright("_place", 33).alias("r")).count().collect()
     assert max(r["count"] for r in sizes) < 15_000
 
 

@@ -126,8 +126,8 @@ def test_only_the_range_sizes_meet_in_one_task(spark, monkeypatch):
         keys, "materialize", lambda df, label: written.append(df) or materialize(df, label)
     )
     numbered = range_key(spark.range(100).select(F.col("id").alias("a")), "n", ["a"])
-    assert "SinglePartition" not in _plan(written[0])
-    assert "rangepartitioning" in _plan(written[0])
+    assert "SinglePartition" not in _plan(written[-1])
+    assert "rangepartitioning" in _plan(written[-1])
     above = _plan(numbered).split("SinglePartition")
     assert len(above) == 2 and "Aggregate" in above[1].splitlines()[1]
 
