@@ -17,6 +17,7 @@ from autostrata.sources import (
     write_yearly,
 )
 from autostrata.sources.files import Paths
+from autostrata.staging import materialize
 
 
 def consolidate_years(
@@ -47,15 +48,16 @@ def build_silver(spark: SparkSession, table_format: str = TABLE_FORMAT) -> None:
     """The three dimensions, then the fact over the saved dimensions, partitioned by month."""
     use_layer(spark, SILVER)
     fleet, states = spark.table(FLEET_TABLE), seeds.states(spark)
+    dated_files = materialize(silver.file_dates(fleet), "files")
     dimensions = {
         "dim_municipio": silver.dim_municipio(spark.table(MUNICIPALITY_TABLE), states),
         "dim_combustivel": silver.dim_combustivel(seeds.fuels(spark)),
-        "dim_data": silver.dim_data(fleet),
+        "dim_data": silver.dim_data(dated_files),
     }
     for name, frame in dimensions.items():
         save_table(frame, f"{SILVER}.{name}", table_format)
     saved = [spark.table(f"{SILVER}.{name}") for name in dimensions]
-    fact = silver.fato_frota(fleet, states, *saved)
+    fact = silver.fato_frota(fleet, states, *saved, dated_files)
     save_table(fact, f"{SILVER}.fato_frota", table_format, partition_by=["id_data"])
 
 

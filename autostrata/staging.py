@@ -37,13 +37,13 @@ def staging_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet in the staging folder and return a scan of the copy."""
-    return materialize_counted(df, label)[0]
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """``materialize``, with the number of rows, which is observed while writing."""
-    spark = df.sparkSession
-    path = staging_path(spark, label)
     rows = Observation()
-    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), rows.get["n"]
+    copy = materialize(df.observe(rows, F.count(F.lit(1)).alias("n")), label)
+    return copy, rows.get["n"]

@@ -31,13 +31,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Silver(NamedTuple):
-    """Dimensions and the keyed fleet rows of one run."""
+    """What the fact and gold queries of one run start from."""
 
+    fleet: DataFrame
+    states: DataFrame
     municipalities: DataFrame
     fuels: DataFrame
     dates: DataFrame
-    fleet: DataFrame
-    rows: DataFrame
+    dated_files: DataFrame
+
+    def rows(self) -> DataFrame:
+        """Fleet rows with their keys."""
+        return silver.fleet_keys(*self)
 
 
 def _dim_municipio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,12 +54,17 @@ def _dim_combustivel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> Silver:
-    """Bronze as a saved table, dimensions and fleet rows with their keys on top of it."""
+    """Bronze as a saved table, and the dimensions on top of it."""
     fleet = materialize(adapter.fleet(spark, sf_dir), "bronze")
-    places, fuels = _dim_municipio(spark, sf_dir), _dim_combustivel(spark, sf_dir)
-    dates = silver.dim_data(fleet)
-    rows = silver.fleet_keys(fleet, adapter.states(spark, sf_dir), places, fuels, dates)
-    return Silver(places, fuels, dates, fleet, rows)
+    dated_files = materialize(silver.file_dates(fleet), "files")
+    return Silver(
+        fleet,
+        adapter.states(spark, sf_dir),
+        _dim_municipio(spark, sf_dir),
+        _dim_combustivel(spark, sf_dir),
+        silver.dim_data(dated_files),
+        dated_files,
+    )
 
 
 def _with_year(fleet: DataFrame) -> DataFrame:
@@ -156,11 +166,7 @@ def dim_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fato_frota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fleet = materialize(adapter.fleet(spark, sf_dir), "bronze")
-    return silver.fato_frota(
-        fleet, adapter.states(spark, sf_dir), _dim_municipio(spark, sf_dir),
-        _dim_combustivel(spark, sf_dir), silver.dim_data(fleet),
-    )
+    return silver.fato_frota(*_silver(spark, sf_dir))
 
 
 # --- audits --------------------------------------------------------------------------------
@@ -210,7 +216,7 @@ def bad_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fato_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.missing_keys(_silver(spark, sf_dir).rows)
+    return quality.missing_keys(_silver(spark, sf_dir).rows())
 
 
 def homonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,54 +232,54 @@ def quality_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_eletrica_hibrida(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_eletrica_e_hibrida_evolucao(s.rows, s.municipalities, s.fuels)
+    return gold.frota_eletrica_e_hibrida_evolucao(s.rows(), s.municipalities, s.fuels)
 
 
 def gold_eletrica(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_eletrica_evolucao(s.rows, s.municipalities, s.fuels)
+    return gold.frota_eletrica_evolucao(s.rows(), s.municipalities, s.fuels)
 
 
 def gold_grupo_regiao(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_por_grupo_combustivel_regiao(s.rows, s.municipalities, s.fuels)
+    return gold.frota_por_grupo_combustivel_regiao(s.rows(), s.municipalities, s.fuels)
 
 
 def gold_grupo_regiao_identificados(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
     return gold.frota_por_grupo_combustivel_regiao(
-        s.rows, s.municipalities, s.fuels, only_identified=True
+        s.rows(), s.municipalities, s.fuels, only_identified=True
     )
 
 
 def gold_qualidade(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_qualidade_dados(s.rows, s.municipalities, s.fuels)
+    return gold.frota_qualidade_dados(s.rows(), s.municipalities, s.fuels)
 
 
 def gold_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_municipio_ranking(s.rows, s.municipalities, s.fuels)
+    return gold.frota_municipio_ranking(s.rows(), s.municipalities, s.fuels)
 
 
 def gold_regiao(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_por_regiao(s.rows, s.municipalities)
+    return gold.frota_por_regiao(s.rows(), s.municipalities)
 
 
 def gold_estado_mes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_por_estado_mes(s.rows, s.municipalities)
+    return gold.frota_por_estado_mes(s.rows(), s.municipalities)
 
 
 def gold_flex_vs_combustao(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_flex_vs_combustao(s.rows, s.municipalities, s.fuels)
+    return gold.frota_flex_vs_combustao(s.rows(), s.municipalities, s.fuels)
 
 
 def per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_per_capita(s.rows, s.municipalities, adapter.population(spark, sf_dir))
+    return gold.frota_per_capita(s.rows(), s.municipalities, adapter.population(spark, sf_dir))
 
 
 # --- text and links ------------------------------------------------------------------------
