@@ -4,10 +4,11 @@ Each monthly file is a snapshot of the registered fleet, so counts of different
 added up: every table is keyed by month, and the ranking looks at one month. The plan the tables
 come from leaves some of them at a name; their definitions here are the plain reading of it.
 
-All tables join small dimensions to the fact and sum by a few keys. The dimensions are saved
-tables, so Spark broadcasts them if they are small enough; sums are pre-aggregated in the scan
-stage, so a shuffle carries one row per key and task, however uneven the keys are. Rows without a
-dimension key stay, under a NULL name.
+Seven of the tables are sums of ``monthly_totals``, which has one row per state, fuel group and
+month. It takes one pass over the fact, whatever the number of tables made from it: the dimensions
+are saved tables, so Spark broadcasts them if they are small enough, and the sums are combined in
+the scan stage, so a shuffle carries one row per key and task, however uneven the keys are. Rows
+without a dimension key stay, under a NULL name.
 """
 
 from __future__ import annotations
@@ -29,52 +30,52 @@ def _with_place(fact: DataFrame, municipalities: DataFrame, *columns: str) -> Da
     return fact.join(municipalities.select("id_municipio", *columns), "id_municipio", "left")
 
 
-def _with_fuel(fact: DataFrame, fuels: DataFrame, only_identified: bool = False) -> DataFrame:
-    joined = fact.join(
-        fuels.select("id_combustivel", "nm_grupo", "fl_identificado"), "id_combustivel", "left"
+def _with_fuel(fact: DataFrame, fuels: DataFrame) -> DataFrame:
+    names = fuels.select("id_combustivel", "nm_grupo", "fl_identificado")
+    return fact.join(names, "id_combustivel", "left")
+
+
+def monthly_totals(fact: DataFrame, municipalities: DataFrame, fuels: DataFrame) -> DataFrame:
+    """Fact rows and vehicles by state, region, fuel group and month."""
+    named = _with_place(_with_fuel(fact, fuels), municipalities, *STATE, "nm_regiao")
+    return named.groupBy(*STATE, "nm_regiao", "nm_grupo", "fl_identificado", "id_data").agg(
+        F.count("*").alias("qt_registros"), _vehicles()
     )
-    return joined.where("fl_identificado") if only_identified else joined
 
 
-def _of_groups(
-    fact: DataFrame, municipalities: DataFrame, fuels: DataFrame, groups: list[str]
-) -> DataFrame:
-    chosen = _with_fuel(fact, fuels).where(F.col("nm_grupo").isin(groups))
-    return _with_place(chosen, municipalities, *STATE).groupBy(*STATE, "id_data").agg(_vehicles())
+def _by_state(totals: DataFrame, groups: list[str]) -> DataFrame:
+    chosen = totals.where(F.col("nm_grupo").isin(groups))
+    return chosen.groupBy(*STATE, "id_data").agg(_vehicles())
 
 
-def frota_eletrica_e_hibrida_evolucao(
-    fact: DataFrame, municipalities: DataFrame, fuels: DataFrame
-) -> DataFrame:
+def frota_eletrica_e_hibrida_evolucao(totals: DataFrame) -> DataFrame:
     """Electric and hybrid vehicles by state and month."""
-    return _of_groups(fact, municipalities, fuels, [seeds.ELECTRIC, seeds.HYBRID])
+    return _by_state(totals, [seeds.ELECTRIC, seeds.HYBRID])
 
 
-def frota_eletrica_evolucao(
-    fact: DataFrame, municipalities: DataFrame, fuels: DataFrame
-) -> DataFrame:
+def frota_eletrica_evolucao(totals: DataFrame) -> DataFrame:
     """Purely electric vehicles by state and month."""
-    return _of_groups(fact, municipalities, fuels, [seeds.ELECTRIC])
+    return _by_state(totals, [seeds.ELECTRIC])
 
 
 def frota_por_grupo_combustivel_regiao(
-    fact: DataFrame, municipalities: DataFrame, fuels: DataFrame, only_identified: bool = False
+    totals: DataFrame, only_identified: bool = False
 ) -> DataFrame:
     """Vehicles by fuel group, region and month, on request without unidentified fuels."""
-    named = _with_place(_with_fuel(fact, fuels, only_identified), municipalities, "nm_regiao")
-    return named.groupBy("nm_grupo", "nm_regiao", "id_data").agg(_vehicles())
+    chosen = totals.where("fl_identificado") if only_identified else totals
+    return chosen.groupBy("nm_grupo", "nm_regiao", "id_data").agg(_vehicles())
 
 
-def frota_qualidade_dados(
-    fact: DataFrame, municipalities: DataFrame, fuels: DataFrame
-) -> DataFrame:
+def frota_qualidade_dados(totals: DataFrame) -> DataFrame:
     """Share of unidentified fuels by state and month, in records and in vehicles."""
     unidentified = F.col("nm_grupo") == seeds.UNIDENTIFIED
-    records, bad_records = F.count("*"), F.count_if(unidentified)
-    vehicles = F.sum("qt_veiculos")
-    bad_vehicles = F.coalesce(F.sum(F.when(unidentified, F.col("qt_veiculos"))), F.lit(0))
-    named = _with_place(_with_fuel(fact, fuels), municipalities, *STATE)
-    return named.groupBy(*STATE, "id_data").agg(
+
+    def of_unidentified(measure: str) -> Column:
+        return F.coalesce(F.sum(F.when(unidentified, F.col(measure))), F.lit(0))
+
+    records, bad_records = F.sum("qt_registros"), of_unidentified("qt_registros")
+    vehicles, bad_vehicles = F.sum("qt_veiculos"), of_unidentified("qt_veiculos")
+    return totals.groupBy(*STATE, "id_data").agg(
         records.alias("qt_registros"),
         bad_records.alias("qt_registros_nao_identificados"),
         percent(bad_records, records).alias("pc_registros_nao_identificados"),
@@ -84,6 +85,28 @@ def frota_qualidade_dados(
     )
 
 
+def frota_por_regiao(totals: DataFrame) -> DataFrame:
+    """Vehicles by region and month."""
+    return totals.groupBy("nm_regiao", "id_data").agg(_vehicles())
+
+
+def frota_por_estado_mes(totals: DataFrame) -> DataFrame:
+    """Vehicles by state and month."""
+    return totals.groupBy(*STATE, "id_data").agg(_vehicles())
+
+
+def frota_flex_vs_combustao(totals: DataFrame) -> DataFrame:
+    """Flex and combustion (fossil and renewable) vehicles side by side, by region and month."""
+
+    def vehicles_of(*groups: str) -> Column:
+        return F.sum(F.when(F.col("nm_grupo").isin(*groups), F.col("qt_veiculos")))
+
+    return totals.groupBy("nm_regiao", "id_data").agg(
+        vehicles_of(seeds.FLEX).alias("qt_flex"),
+        vehicles_of(seeds.FOSSIL, seeds.RENEWABLE).alias("qt_combustao"),
+    )
+
+
 def latest_month(fact: DataFrame) -> Column:
     """The last month of the fact, as a scalar subquery."""
     return fact.agg(F.max("id_data")).scalar()
@@ -119,31 +142,6 @@ def frota_municipio_ranking(
     )
 
 
-def frota_por_regiao(fact: DataFrame, municipalities: DataFrame) -> DataFrame:
-    """Vehicles by region and month."""
-    return _with_place(fact, municipalities, "nm_regiao").groupBy("nm_regiao", "id_data").agg(_vehicles())
-
-
-def frota_por_estado_mes(fact: DataFrame, municipalities: DataFrame) -> DataFrame:
-    """Vehicles by state and month."""
-    return _with_place(fact, municipalities, *STATE).groupBy(*STATE, "id_data").agg(_vehicles())
-
-
-def frota_flex_vs_combustao(
-    fact: DataFrame, municipalities: DataFrame, fuels: DataFrame
-) -> DataFrame:
-    """Flex and combustion (fossil and renewable) vehicles side by side, by region and month."""
-
-    def vehicles_of(*groups: str) -> Column:
-        return F.sum(F.when(F.col("nm_grupo").isin(*groups), F.col("qt_veiculos")))
-
-    named = _with_place(_with_fuel(fact, fuels), municipalities, "nm_regiao")
-    return named.groupBy("nm_regiao", "id_data").agg(
-        vehicles_of(seeds.FLEX).alias("qt_flex"),
-        vehicles_of(seeds.FOSSIL, seeds.RENEWABLE).alias("qt_combustao"),
-    )
-
-
 def frota_per_capita(
     fact: DataFrame, municipalities: DataFrame, population: DataFrame
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from autostrata.sources import (
     write_yearly,
 )
 from autostrata.sources.files import Paths
-from autostrata.staging import materialize
+from autostrata.staging import materialize, temporary_area
 
 
 def consolidate_years(
@@ -48,42 +48,45 @@ def build_silver(spark: SparkSession, table_format: str = TABLE_FORMAT) -> None:
     """The three dimensions, then the fact over the saved dimensions, partitioned by month."""
     use_layer(spark, SILVER)
     fleet, states = spark.table(FLEET_TABLE), seeds.states(spark)
-    dated_files = materialize(silver.file_dates(fleet), "files")
-    dimensions = {
-        "dim_municipio": silver.dim_municipio(spark.table(MUNICIPALITY_TABLE), states),
-        "dim_combustivel": silver.dim_combustivel(seeds.fuels(spark)),
-        "dim_data": silver.dim_data(dated_files),
-    }
-    for name, frame in dimensions.items():
-        save_table(frame, f"{SILVER}.{name}", table_format)
-    saved = [spark.table(f"{SILVER}.{name}") for name in dimensions]
-    fact = silver.fato_frota(fleet, states, *saved, dated_files)
-    save_table(fact, f"{SILVER}.fato_frota", table_format, partition_by=["id_data"])
+    with temporary_area(spark):
+        dated_files = materialize(silver.file_dates(fleet), "files")
+        dimensions = {
+            "dim_municipio": silver.dim_municipio(spark.table(MUNICIPALITY_TABLE), states),
+            "dim_combustivel": silver.dim_combustivel(seeds.fuels(spark)),
+            "dim_data": silver.dim_data(dated_files),
+        }
+        for name, frame in dimensions.items():
+            save_table(frame, f"{SILVER}.{name}", table_format)
+        saved = [spark.table(f"{SILVER}.{name}") for name in dimensions]
+        fact = silver.fato_frota(fleet, states, *saved, dated_files)
+        save_table(fact, f"{SILVER}.fato_frota", table_format, partition_by=["id_data"])
 
 
 def gold_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """The gold tables by name, over the saved silver layer."""
+    """The gold tables by name, over the saved silver layer.
+
+    The monthly totals are written once, so the fact is read for them, for the ranking and for
+    nothing else.
+    """
     fact = spark.table(f"{SILVER}.fato_frota")
     places = spark.table(f"{SILVER}.dim_municipio")
     fuels = spark.table(f"{SILVER}.dim_combustivel")
+    totals = materialize(gold.monthly_totals(fact, places, fuels), "totals")
     return {
-        "frota_eletrica_e_hibrida_evolucao": gold.frota_eletrica_e_hibrida_evolucao(
-            fact, places, fuels
-        ),
-        "frota_eletrica_evolucao": gold.frota_eletrica_evolucao(fact, places, fuels),
-        "frota_por_grupo_combustivel_regiao": gold.frota_por_grupo_combustivel_regiao(
-            fact, places, fuels
-        ),
-        "frota_qualidade_dados": gold.frota_qualidade_dados(fact, places, fuels),
+        "frota_eletrica_e_hibrida_evolucao": gold.frota_eletrica_e_hibrida_evolucao(totals),
+        "frota_eletrica_evolucao": gold.frota_eletrica_evolucao(totals),
+        "frota_por_grupo_combustivel_regiao": gold.frota_por_grupo_combustivel_regiao(totals),
+        "frota_qualidade_dados": gold.frota_qualidade_dados(totals),
         "frota_municipio_ranking": gold.frota_municipio_ranking(fact, places, fuels),
-        "frota_por_regiao": gold.frota_por_regiao(fact, places),
-        "frota_por_estado_mes": gold.frota_por_estado_mes(fact, places),
-        "frota_flex_vs_combustao": gold.frota_flex_vs_combustao(fact, places, fuels),
+        "frota_por_regiao": gold.frota_por_regiao(totals),
+        "frota_por_estado_mes": gold.frota_por_estado_mes(totals),
+        "frota_flex_vs_combustao": gold.frota_flex_vs_combustao(totals),
     }
 
 
 def build_gold(spark: SparkSession, table_format: str = TABLE_FORMAT) -> None:
     """Overwrite all gold tables."""
     use_layer(spark, GOLD)
-    for name, frame in gold_tables(spark).items():
-        save_table(frame, f"{GOLD}.{name}", table_format)
+    with temporary_area(spark):
+        for name, frame in gold_tables(spark).items():
+            save_table(frame, f"{GOLD}.{name}", table_format)

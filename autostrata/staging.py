@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +33,26 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_area: ContextVar[str | None] = ContextVar("staging area", default=None)
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the staging folder."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the staging folder, or under the temporary area in use."""
+    return f"{_area.get() or staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def temporary_area(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside at the end, when results have been saved."""
+    path = f"{staging_root(spark)}/area-{uuid.uuid4().hex}"
+    token = _area.set(path)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

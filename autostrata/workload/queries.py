@@ -230,51 +230,46 @@ def quality_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- gold ----------------------------------------------------------------------------------
 
 
-def gold_eletrica_hibrida(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_eletrica_e_hibrida_evolucao(s.rows(), s.municipalities, s.fuels)
+    return gold.monthly_totals(s.rows(), s.municipalities, s.fuels)
+
+
+def gold_eletrica_hibrida(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.frota_eletrica_e_hibrida_evolucao(_totals(spark, sf_dir))
 
 
 def gold_eletrica(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_eletrica_evolucao(s.rows(), s.municipalities, s.fuels)
+    return gold.frota_eletrica_evolucao(_totals(spark, sf_dir))
 
 
 def gold_grupo_regiao(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_por_grupo_combustivel_regiao(s.rows(), s.municipalities, s.fuels)
+    return gold.frota_por_grupo_combustivel_regiao(_totals(spark, sf_dir))
 
 
 def gold_grupo_regiao_identificados(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_por_grupo_combustivel_regiao(
-        s.rows(), s.municipalities, s.fuels, only_identified=True
-    )
+    return gold.frota_por_grupo_combustivel_regiao(_totals(spark, sf_dir), only_identified=True)
 
 
 def gold_qualidade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_qualidade_dados(s.rows(), s.municipalities, s.fuels)
-
-
-def gold_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_municipio_ranking(s.rows(), s.municipalities, s.fuels)
+    return gold.frota_qualidade_dados(_totals(spark, sf_dir))
 
 
 def gold_regiao(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_por_regiao(s.rows(), s.municipalities)
+    return gold.frota_por_regiao(_totals(spark, sf_dir))
 
 
 def gold_estado_mes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_por_estado_mes(s.rows(), s.municipalities)
+    return gold.frota_por_estado_mes(_totals(spark, sf_dir))
 
 
 def gold_flex_vs_combustao(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.frota_flex_vs_combustao(_totals(spark, sf_dir))
+
+
+def gold_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    return gold.frota_flex_vs_combustao(s.rows(), s.municipalities, s.fuels)
+    return gold.frota_municipio_ranking(s.rows(), s.municipalities, s.fuels)
 
 
 def per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:

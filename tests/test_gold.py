@@ -35,42 +35,47 @@ def star(spark):
     return fact, places, fuels
 
 
+@pytest.fixture(scope="module")
+def totals(star):
+    return gold.monthly_totals(*star)
+
+
 def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def test_electric_tables(star):
-    assert _rows(gold.frota_eletrica_e_hibrida_evolucao(*star)) == [("AC", "ACRE", 202404, 3)]
-    assert _rows(gold.frota_eletrica_evolucao(*star)) == [("AC", "ACRE", 202404, 1)]
+def test_electric_tables(totals):
+    assert _rows(gold.frota_eletrica_e_hibrida_evolucao(totals)) == [("AC", "ACRE", 202404, 3)]
+    assert _rows(gold.frota_eletrica_evolucao(totals)) == [("AC", "ACRE", 202404, 1)]
 
 
-def test_months_without_rows_are_absent(star):
-    months = {r.id_data for r in gold.frota_por_regiao(*star[:2]).collect()}
+def test_months_without_rows_are_absent(totals):
+    months = {r.id_data for r in gold.frota_por_regiao(totals).collect()}
     assert months == {202404, 202406}
 
 
-def test_unknown_keys_stay_under_a_null_name(star):
-    by_region = {(r.nm_regiao, r.id_data): r.qt_veiculos for r in gold.frota_por_regiao(*star[:2]).collect()}
+def test_unknown_keys_stay_under_a_null_name(totals):
+    by_region = {(r.nm_regiao, r.id_data): r.qt_veiculos for r in gold.frota_por_regiao(totals).collect()}
     assert by_region == {
         ("Norte", 202404): 13, ("Sul", 202404): 30, ("Norte", 202406): 26, ("Sul", 202406): 18,
         (None, 202406): 100,
     }
     assert sum(by_region.values()) == sum(
-        r.qt_veiculos for r in gold.frota_por_estado_mes(*star[:2]).collect()
+        r.qt_veiculos for r in gold.frota_por_estado_mes(totals).collect()
     )
-    groups = gold.frota_por_grupo_combustivel_regiao(*star).collect()
+    groups = gold.frota_por_grupo_combustivel_regiao(totals).collect()
     assert (None, "Sul", 202406, 7) in {tuple(r) for r in groups}
     assert sum(r.qt_veiculos or 0 for r in groups) == sum(by_region.values())
 
 
-def test_only_identified(star):
-    rows = gold.frota_por_grupo_combustivel_regiao(*star, only_identified=True).collect()
+def test_only_identified(totals):
+    rows = gold.frota_por_grupo_combustivel_regiao(totals, only_identified=True).collect()
     assert seeds.UNIDENTIFIED not in {r.nm_grupo for r in rows}
     assert None not in {r.nm_grupo for r in rows}
 
 
-def test_flex_against_combustion(star):
-    assert _rows(gold.frota_flex_vs_combustao(*star)) == sorted(
+def test_flex_against_combustion(totals):
+    assert _rows(gold.frota_flex_vs_combustao(totals)) == sorted(
         [
             ("Norte", 202404, None, 10), ("Sul", 202404, 30, None), ("Norte", 202406, None, 26),
             ("Sul", 202406, None, 5), (None, 202406, None, 100),
@@ -79,8 +84,8 @@ def test_flex_against_combustion(star):
     )
 
 
-def test_quality_and_alert(star):
-    rows = {(r.sigla_uf, r.id_data): r for r in gold.frota_qualidade_dados(*star).collect()}
+def test_quality_and_alert(totals):
+    rows = {(r.sigla_uf, r.id_data): r for r in gold.frota_qualidade_dados(totals).collect()}
     south = rows["PR", 202406]
     assert (south.qt_registros, south.qt_registros_nao_identificados) == (3, 1)
     assert south.pc_registros_nao_identificados == 33.33
@@ -88,7 +93,7 @@ def test_quality_and_alert(star):
     assert south.pc_veiculos_nao_identificados == 33.33
     early = rows["PR", 202404]
     assert (early.pc_registros_nao_identificados, early.pc_veiculos_nao_identificados) == (50.0, 0.0)
-    alerts = quality.quality_alert(gold.frota_qualidade_dados(*star), 40.0)
+    alerts = quality.quality_alert(gold.frota_qualidade_dados(totals), 40.0)
     assert [(r.sigla_uf, r.id_data) for r in alerts.collect()] == [("PR", 202404)]
 
 

@@ -1,5 +1,7 @@
 """Physical plans, and the whole pipeline from files to saved gold tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from autostrata import seeds
 from autostrata.operators import closest_names, keys, range_key
 from autostrata.plans import gold, jobs, quality, silver
 from autostrata.sources.files import FLEET_SCHEMA, MUNICIPALITY_SCHEMA
-from autostrata.staging import materialize
+from autostrata.staging import materialize, staging_root
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -57,7 +59,7 @@ def test_no_python_in_the_tasks(spark, fleet, rfb, star):
     matches = silver.match_registered(silver.fleet_municipalities(fleet, states), rfb)
     frames = [
         star[0], star[1], star[2], silver.dim_data(fleet), matches,
-        quality.closest_registered(matches, rfb), gold.frota_qualidade_dados(*star),
+        quality.closest_registered(matches, rfb), gold.frota_qualidade_dados(gold.monthly_totals(*star)),
         gold.frota_municipio_ranking(*star),
     ]
     for frame in frames:
@@ -134,14 +136,14 @@ def test_only_the_range_sizes_meet_in_one_task(spark, monkeypatch):
 
 
 def test_gold_sums_are_combined_before_the_shuffle(star):
-    plan = _plan(gold.frota_por_regiao(*star[:2]))
+    plan = _plan(gold.monthly_totals(*star))
     assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") == 1
     assert "WindowGroupLimit" in _plan(gold.frota_municipio_ranking(*star))
 
 
 def test_group_filter_reaches_the_dimension(star):
     """Only fuels of the wanted group are joined, and the fact rows of others drop out there."""
-    joins = [line for line in _plan(gold.frota_eletrica_evolucao(*star)).splitlines()
+    joins = [line for line in _plan(gold.frota_eletrica_evolucao(gold.monthly_totals(*star))).splitlines()
              if "BroadcastHashJoin [id_combustivel" in line]
     assert len(joins) == 1 and "Inner" in joins[0]
 
@@ -150,6 +152,12 @@ def test_pipeline_from_files_to_gold(spark, tmp_path, fleet, rfb):
     fleet_path, list_path = f"{tmp_path}/fleet", f"{tmp_path}/list"
     fleet.write.option("header", True).csv(fleet_path)
     rfb.write.options(header="true", sep=";", encoding="ISO-8859-1").csv(list_path)
+    root = staging_root(spark).removeprefix("file:")
+
+    def leftovers():
+        return {name for name in os.listdir(root) if name.startswith("area-")}
+
+    before = leftovers()
     try:
         jobs.build_bronze(spark, f"{fleet_path}/*.csv", list_path)
         jobs.build_silver(spark)
@@ -168,6 +176,7 @@ def test_pipeline_from_files_to_gold(spark, tmp_path, fleet, rfb):
         by_group = spark.table("gold.frota_por_grupo_combustivel_regiao")
         assert by_group.agg(F.sum("qt_veiculos")).first()[0] == total
         assert {t.name for t in spark.catalog.listTables("gold")} == set(jobs.gold_tables(spark))
+        assert leftovers() == before
         month = fact.where("id_data = 202404")
         assert "PartitionFilters: [isnotnull(id_data" in _plan(month)
     finally:
