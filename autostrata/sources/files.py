@@ -22,30 +22,47 @@ Paths = str | list[str]
 
 
 def _delimited(
-    spark: SparkSession, paths: Paths, schema: str, malformed: str | None, **options: str
+    spark: SparkSession,
+    paths: Paths,
+    schema: str,
+    malformed: str | None = None,
+    check_header: bool = False,
+    **options: str,
 ) -> DataFrame:
-    reader = spark.read.options(header="true", **options)
+    reader = spark.read.options(
+        header="true", enforceSchema="false" if check_header else "true", **options
+    )
     if malformed:
         schema = f"{schema}, {malformed} string"
         reader = reader.option("columnNameOfCorruptRecord", malformed)
     return reader.schema(schema).csv(paths)
 
 
-def read_fleet(spark: SparkSession, paths: Paths, malformed: str | None = None) -> DataFrame:
+def read_fleet(
+    spark: SparkSession, paths: Paths, malformed: str | None = None, check_header: bool = False
+) -> DataFrame:
     """Fleet CSV files: comma, UTF-8, header line, five declared columns taken by position.
 
     A field that is no integer becomes NULL, as does an empty one; short lines are padded with
     NULL. Name a column in ``malformed`` to get the text of every line that does not fit the
     schema (wrong number of fields, unreadable number), so that it can be checked before a load.
+    ``check_header=True`` fails on a file whose header is not the declared names in their order.
     """
-    return _delimited(spark, paths, FLEET_SCHEMA, malformed, sep=",", encoding="UTF-8")
+    return _delimited(
+        spark, paths, FLEET_SCHEMA, malformed, check_header, sep=",", encoding="UTF-8"
+    )
 
 
 def read_municipalities(
-    spark: SparkSession, paths: Paths, malformed: str | None = None
+    spark: SparkSession, paths: Paths, malformed: str | None = None, check_header: bool = False
 ) -> DataFrame:
-    """Municipality CSV of the revenue office: semicolon, ISO-8859-1, header line."""
-    return _delimited(spark, paths, MUNICIPALITY_SCHEMA, malformed, sep=";", encoding="ISO-8859-1")
+    """Municipality CSV of the revenue office: semicolon, ISO-8859-1, header line.
+
+    Fields and options are treated as in ``read_fleet``.
+    """
+    return _delimited(
+        spark, paths, MUNICIPALITY_SCHEMA, malformed, check_header, sep=";", encoding="ISO-8859-1"
+    )
 
 
 def consolidate(
@@ -101,5 +118,5 @@ def read_yearly(
     spark: SparkSession, path: str, years: list[int] | None = None, year: str = "nr_ano"
 ) -> DataFrame:
     """Fleet rows of a yearly CSV layout; folders outside ``years`` are not listed for reading."""
-    frame = _delimited(spark, path, f"{FLEET_SCHEMA}, {year} int", None, sep=",", encoding="UTF-8")
+    frame = _delimited(spark, path, f"{FLEET_SCHEMA}, {year} int", sep=",", encoding="UTF-8")
     return select_years(frame, years, year)

@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autostrata import seeds
 from autostrata.functions import normalize_name, strip_accents
 from autostrata.plans import gold, quality, silver
 from autostrata.sources import (

@@ -13,6 +13,11 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+DUCK_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "date": "DATE",
+}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -41,6 +46,8 @@ def test_query_equals_oracle(spark, duck, name):
     result = contract.queries()[name](spark, SF_DIR)
     expected = duck.sql(contract.oracle_sql()[name])
     assert sorted(result.columns) == sorted(expected.columns)
+    types = {c: DUCK_TYPES[t] for c, t in result.dtypes}
+    assert types == {c: str(t) for c, t in zip(expected.columns, expected.types)}
     columns = sorted(result.columns)
     got = sorted(_row(r.asDict(), columns) for r in result.collect())
     want = sorted(_row(dict(zip(expected.columns, r)), columns) for r in expected.fetchall())

@@ -65,6 +65,17 @@ def test_malformed_lines_can_be_listed(spark, tmp_path):
     assert sorted(bad) == sorted(FLEET_CSV.splitlines()[2:])
 
 
+def test_header_check(spark, tmp_path):
+    right, wrong = tmp_path / "right.csv", tmp_path / "wrong.csv"
+    line = "ACRE,ACRELANDIA,DIESEL,3,f\n"
+    right.write_text("nm_uf,nm_municipio,nm_combustivel,qtd_veiculos,nm_file\n" + line)
+    wrong.write_text("nm_municipio,nm_uf,nm_combustivel,qtd_veiculos,nm_file\n" + line)
+    assert read_fleet(spark, str(right), check_header=True).count() == 1
+    assert len(read_fleet(spark, str(wrong)).collect()) == 1
+    with pytest.raises(Exception, match="(?i)header"):
+        read_fleet(spark, str(wrong), check_header=True).collect()
+
+
 def test_read_municipalities_latin1(spark, tmp_path):
     (tmp_path / "m.csv").write_bytes(MUNICIPALITY_CSV.encode("iso-8859-1"))
     assert _rows(read_municipalities(spark, f"{tmp_path}/m.csv")) == sorted(

@@ -40,7 +40,13 @@ def test_strip_accents_over_all_letters(spark):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(st.characters(max_codepoint=0x24F, exclude_categories=["Cs", "Cc"])), min_size=1, max_size=30))
+@given(
+    st.lists(
+        st.text(st.characters(max_codepoint=0x24F, exclude_categories=["Cs", "Cc"])),
+        min_size=1,
+        max_size=30,
+    )
+)
 def test_strip_accents_property(spark, texts):
     assert _apply(spark, strip_accents, texts) == [_by_definition(t) for t in texts]
 
