@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from autostrata.llm.common import read, whole
 from autostrata.llm.exact_dedup import exact_groups
+from autostrata.llm.minhash import near_duplicates
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +16,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, carry={"text_sha256": F.sha2(whole("text"), 256)})
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with 85 % of their five-word shingles in common."""
+    return near_duplicates(read(spark, sf_dir, "documents"), similarity=0.85)
+
+
 QUERIES = {
+    "op6_minhash": op6_minhash,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
