@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autostrata.llm import toxicity
 from autostrata.llm.common import read, whole
+from autostrata.llm.decontaminate import PositionalIndex
 from autostrata.llm.exact_dedup import exact_groups
 from autostrata.llm.minhash import near_duplicates
+from autostrata.llm.packing import pack
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +19,46 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, carry={"text_sha256": F.sha2(whole("text"), 256)})
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by a model that no row of the held-out fourth has shaped."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(toxicity.crc_remainder("doc_id") != 2))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.crc_remainder("doc_id") == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 512 to 4096 words."""
+    return pack(read(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with 85 % of their five-word shingles in common."""
     return near_duplicates(read(spark, sf_dir, "documents"), similarity=0.85)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside ten-word windows of benchmark items."""
+    index = PositionalIndex(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return index.contamination().select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minhash": op6_minhash,
+    "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
 }
 

@@ -3,18 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from autostrata.llm.exact_dedup import keep_one
+from autostrata.llm import decontaminate, exact_dedup, minhash, packing, toxicity
 from autostrata.staging import staging_path
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text."""
-    return keep_one(docs)
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the threshold, by a model from the labels of the training rows."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(toxicity.crc_remainder("doc_id") != 2))
+    name = "score" + "_" * max(map(len, docs.columns))  # longer than any column's name
+    scored = toxicity.score(docs, model, name=name)
+    return scored.where(F.col(name) < toxicity.THRESHOLD).drop(name)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id."""
+    return exact_dedup.keep_one(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked, directly or over others, the one with the smallest doc_id."""
+    return minhash.keep_one(docs, similarity=0.8)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten words in a row from a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, benchmark)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of a document in a training sequence."""
+    return packing.pack(docs)
 
 
 STAGES = [
-    ("exact dedup", exact_dedup),
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
 # Trained scores, hashed signatures and greedy packing have no SQL form.
