@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from autostrata.llm import toxicity
 from autostrata.llm.common import read, whole
+from autostrata.llm.credentials import SecretScan
 from autostrata.llm.decontaminate import PositionalIndex
 from autostrata.llm.exact_dedup import exact_groups
 from autostrata.llm.minhash import near_duplicates
 from autostrata.llm.packing import pack
+from autostrata.llm.sharding import shard_documents
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +33,28 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal counts, equal texts together as far as there is room."""
+    placed = shard_documents(read(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, with weak parts where they complete a credential."""
+    found = SecretScan(read(spark, sf_dir, "documents")).findings()
+    return found.select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans"
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 512 to 4096 words."""
     return pack(read(spark, sf_dir, "documents"))
@@ -56,6 +80,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_sharding": op3_sharding,
+    "op4_secret_scan": op4_secret_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minhash": op6_minhash,
     "op8_decontamination": op8_decontamination,
