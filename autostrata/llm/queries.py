@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autostrata.llm import toxicity
+from autostrata.llm import toxicity, warc
 from autostrata.llm.common import read, whole
 from autostrata.llm.credentials import SecretScan
 from autostrata.llm.decontaminate import PositionalIndex
@@ -13,6 +13,7 @@ from autostrata.llm.exact_dedup import exact_groups
 from autostrata.llm.minhash import near_duplicates
 from autostrata.llm.packing import pack
 from autostrata.llm.sharding import shard_documents
+from autostrata.staging import materialize
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,33 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), similarity=0.85)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived and read back. A revisit's size is that of the response it refers to."""
+    archives = warc.write_archives(read(spark, sf_dir, "pages"))
+    records = materialize(
+        warc.read_archives(spark, archives).select(
+            "record_id",
+            "record_type",
+            "refers_to",
+            "payload_digest",
+            F.octet_length("payload").cast("bigint").alias("size"),
+        ),
+        "records",
+    )
+    responses = records.where("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to"), F.col("size").alias("referred")
+    )
+    revisits = records.where("record_type = 'revisit'").join(responses, "refers_to", "left")
+    both = records.where("record_type = 'response'").withColumn("referred", F.col("size"))
+    return both.unionByName(revisits).select(
+        warc.page_of("record_id").try_cast("bigint").alias("page_id"),
+        F.col("referred").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").try_cast("bigint").alias("refers_to"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside ten-word windows of benchmark items."""
     index = PositionalIndex(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -84,6 +112,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minhash": op6_minhash,
+    "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
 }
