@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autostrata.llm import toxicity, warc
+from autostrata.llm import html_extract, toxicity, warc
 from autostrata.llm.common import read, whole
 from autostrata.llm.credentials import SecretScan
 from autostrata.llm.decontaminate import PositionalIndex
@@ -34,6 +34,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages by a model trained on those that declare their main part."""
+    pages = read(spark, sf_dir, "pages")
+    texts = html_extract.extract(pages, html_extract.fit(pages))
+    n_chars = F.char_length("text").cast("bigint").alias("n_chars")
+    return texts.select("page_id", "url", "text", n_chars)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal counts, equal texts together as far as there is room."""
     placed = shard_documents(read(spark, sf_dir, "documents"), shards=24)
@@ -108,6 +116,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_extraction": op2_html_extraction,
     "op3_sharding": op3_sharding,
     "op4_secret_scan": op4_secret_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
