@@ -13,6 +13,7 @@ from autostrata.llm.exact_dedup import exact_groups
 from autostrata.llm.minhash import near_duplicates
 from autostrata.llm.packing import pack
 from autostrata.llm.sharding import shard_documents
+from autostrata.llm.suffix_dedup import remove_repeats
 from autostrata.staging import materialize
 
 
@@ -114,6 +115,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 100 bytes that occurred before."""
+    left = remove_repeats(read(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("bigint").alias("n_spans")
+    return left.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_extraction": op2_html_extraction,
@@ -124,6 +132,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE = {
