@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from autostrata.functions.text import strip_accents
 
-# Fixed value: month name and four-digit year at the end of a monthly file's name.
-FILE_DATE_PATTERN = r"_([A-Za-záéíóúãõêç]+)_(\d{4})\.xlsx"
+# A monthly file's name without accents ends in the month's name, the year and the suffix.
+FILE_DATE_PATTERN = r"_([A-Za-z]+)_(\d{4})\.xlsx$"
+
+
+def percent_decoded(name: Column) -> Column:
+    """The name with percent signs decoded and nothing else; as it is if that fails."""
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
 
 
 def file_date_parts(name: Column | str) -> tuple[Column, Column]:
@@ -18,7 +23,7 @@ def file_date_parts(name: Column | str) -> tuple[Column, Column]:
     upper-case ``Março`` is recognized as well. A name that cannot be decoded is taken as it is.
     """
     raw = F.col(name) if isinstance(name, str) else name
-    clean = strip_accents(F.coalesce(F.try_url_decode(raw), raw))
+    clean = strip_accents(percent_decoded(raw))
     word = F.nullif(F.regexp_extract(clean, FILE_DATE_PATTERN, 1), F.lit(""))
     year = F.nullif(F.regexp_extract(clean, FILE_DATE_PATTERN, 2), F.lit(""))
     return F.upper(word), year.cast("int")

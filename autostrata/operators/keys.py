@@ -5,30 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from autostrata.staging import materialize, materialize_counted
+from autostrata.staging import materialize, stored_bytes
 
-# Largest frame that one task numbers by itself; anything beyond is numbered range by range.
-ONE_TASK_ROWS = 1_000_000
+# Stored bytes that one task sorts, on average.
+RANGE_BYTES = 256 << 20
 
 # monotonically_increasing_id: partition number above this bit, row number in the partition below.
 _ROW_BITS = 33
 
 
-def window_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """Add ``name`` (int) with one unpartitioned window. Only for frames of a known small size."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-
-
 def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """Add ``name`` (int) to a dimension whose size is not known beforehand.
-
-    The frame is written once and counted; a small one is numbered by a window, a larger one by
-    ``range_key``. Both give the same numbers.
-    """
-    staged, rows = materialize_counted(df, "unnumbered")
-    if rows <= ONE_TASK_ROWS:
-        return window_key(staged, name, order)
-    return range_key(staged, name, order).withColumn(name, F.col(name).cast("int"))
+    """Add ``name`` (int) to a dimension, numbered as by ``range_key``."""
+    return range_key(df, name, order).withColumn(name, F.col(name).cast("int"))
 
 
 def range_key(df: DataFrame, name: str, order: list[str], unique: bool = False) -> DataFrame:
@@ -40,17 +28,20 @@ def range_key(df: DataFrame, name: str, order: list[str], unique: bool = False)
 
     Copies of one row may be any share of all rows, so they must not have to share a range: the
     rows are written out once with a running number, which is the last part of the range key. The
-    copy fixes that number, so a repeated task arrives at the same ranges, and it spares the
-    sampling of the ranges from evaluating ``df`` a second time. ``unique=True`` is for rows known
-    to differ that are cheap to read twice.
+    copy fixes that number, so a repeated task arrives at the same ranges; it spares the sampling
+    of the ranges from evaluating ``df`` a second time; and its size decides into how many ranges
+    the rows are cut. ``unique=True`` is for rows known to differ that are cheap to read twice:
+    they are not copied, and the session's number of shuffle partitions is used.
     """
     columns = df.columns
     sort = order + [c for c in columns if c not in order]
+    ranges = []
     if not unique:
         df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "rows")
         sort = sort + ["_tie"]
+        ranges = [max(1, -(-stored_bytes(df) // RANGE_BYTES))]
     placed = (
-        df.repartitionByRange(*sort)
+        df.repartitionByRange(*ranges, *sort)
         .sortWithinPartitions(*sort)
         .select(*columns, F.monotonically_increasing_id().alias("_place"))
     )
@@ -62,7 +53,7 @@ def range_key(df: DataFrame, name: str, order: list[str], unique: bool = False)
         .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     in_range = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
-    # One row per shuffle partition, hence the broadcast.
+    # One row per range, hence the broadcast.
     return staged.join(F.broadcast(offsets), "_range").select(
         *columns, (F.col("_offset") + in_range + 1).alias(name)
     )

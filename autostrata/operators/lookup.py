@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,7 +22,8 @@ def unique_lookup(df: DataFrame, keys: list[str], values: list[str]) -> DataFram
     """One row per key with its values; the query fails if a key occurs twice.
 
     A left join with the result keeps the row count of its left side. Rows with a NULL key are
-    left out, since they can never match. The check runs inside the plan, on the lookup side only.
+    left out, since they can never match. The check runs inside the plan, on the lookup side only,
+    and belongs to the key, so it runs whichever values are asked for.
     """
     single = (
         df.dropna(subset=keys)
@@ -32,8 +33,5 @@ def unique_lookup(df: DataFrame, keys: list[str], values: list[str]) -> DataFram
     message = F.concat(
         F.lit(f"lookup key ({', '.join(keys)}) is not unique: "), F.to_json(F.struct(*keys))
     )
-
-    def checked(value: str) -> Column:
-        return F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(value)).alias(value)
-
-    return single.select(*keys, *map(checked, values))
+    first = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(keys[0]))
+    return single.select(first.alias(keys[0]), *keys[1:], *values)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MOST_EDITS = 3
+
 
 def _one_letter_less(word: Column) -> Column:
     """All strings that arise from ``word`` by leaving out one letter."""
@@ -45,11 +47,14 @@ def closest_names(
     letters, so an equi-join on those strings finds every such pair. Only names that are close
     anyway meet in the join, however many there are in a block; the exact distance is checked
     afterwards. Ties go to the smaller name, then to the smaller value; ``NULL`` values sort first.
-    Names without a candidate in reach are absent from the result.
+    Names without a candidate in reach are absent from the result. A name has about
+    length^``max_distance`` such strings, so distances above ``MOST_EDITS`` are refused.
 
     ``names`` needs the columns ``block`` and ``name``; ``candidates`` also needs ``value``. The
     result has ``block``, ``name``, ``nm_candidato``, ``value`` and ``nr_distancia``.
     """
+    if not 0 <= max_distance <= MOST_EDITS:
+        raise ValueError(f"max_distance must be 0 to {MOST_EDITS}")
     wanted = names.select(block, name).distinct()
     offered = candidates.groupBy(block, name).agg(F.min(F.struct(value)).alias("_v"))
     left = _signatures(wanted, block, name, max_distance)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from autostrata import seeds
+from autostrata.operators import unique_lookup
 from autostrata.plans.quality import percent
 
 STATE = ["sigla_uf", "nm_uf"]
@@ -121,7 +122,8 @@ def frota_municipio_ranking(
 ) -> DataFrame:
     """The municipalities with the most vehicles of each fuel group, in one month.
 
-    The month is the latest one by default. Rows without a municipality do not take part. Equal
+    The month is the latest one by default, which is looked up in the fact; give it where it is
+    known. Rows without a municipality do not take part. Equal
     totals are ranked by id.
     """
     wanted = latest_month(fact) if month is None else F.lit(month)
@@ -158,7 +160,11 @@ def frota_per_capita(
     place = ["cd_ibge_municipio", "nm_municipio_formatted", "sigla_uf"]
     return (
         _with_place(totals, municipalities, *place)
-        .join(population, "cd_ibge_municipio", "left")
+        .join(
+            unique_lookup(population, ["cd_ibge_municipio"], ["populacao_estimada"]),
+            "cd_ibge_municipio",
+            "left",
+        )
         .select(
             *place,
             "id_data",

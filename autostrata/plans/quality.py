@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from autostrata.functions import normalize_name
 from autostrata.operators import closest_names
-from autostrata.plans.silver import file_dates, registered_municipalities
+from autostrata.plans.silver import file_dates, registered_keys, registered_municipalities
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -35,13 +35,12 @@ def null_code_audit(municipalities: DataFrame) -> DataFrame:
     )
 
 
-def null_codes(municipalities: DataFrame, rows: int = 100) -> DataFrame:
-    """The first municipalities without a code, by state and name."""
-    return (
-        municipalities.where(F.col("cd_ibge_municipio").isNull())
-        .orderBy("nm_uf", "nm_municipio_norm", "nm_municipio_formatted")
-        .limit(rows)
+def null_codes(municipalities: DataFrame, rows: int | None = None) -> DataFrame:
+    """The municipalities without a code, by state and name; the first ``rows`` on request."""
+    listed = municipalities.where(F.col("cd_ibge_municipio").isNull()).orderBy(
+        "nm_uf", "nm_municipio_norm", "nm_municipio_formatted"
     )
+    return listed if rows is None else listed.limit(rows)
 
 
 def unmatched(matches: DataFrame) -> DataFrame:
@@ -52,28 +51,54 @@ def unmatched(matches: DataFrame) -> DataFrame:
 
 
 def match_audit(matches: DataFrame) -> DataFrame:
-    """Number of fleet municipalities, of those not on the registered list, and their share."""
+    """Number of fleet municipalities, of those not on the registered list, their share, and the
+    number of those whose name several entries of the list share."""
     missing = F.count_if(~F.col("fl_encontrado"))
     total = F.count("*")
     return matches.agg(
         total.alias("qt_total"),
         missing.alias("qt_sem_match"),
         percent(missing, total).alias("pc_sem_match"),
+        F.count_if(F.col("qt_candidatos") > 1).alias("qt_ambiguos"),
     )
 
 
-def closest_registered(matches: DataFrame, rfb: DataFrame, max_distance: int = 2) -> DataFrame:
-    """For each unmatched fleet municipality, the closest registered name of its state."""
-    listed = registered_municipalities(rfb).select(
-        "sigla_uf", normalize_name("nm_municipio_upper").alias("nm_chave"), "cd_ibge_municipio"
+def ambiguous(rfb: DataFrame) -> DataFrame:
+    """Names of the registered list that several of its entries share within a state, with all of
+    these entries: no fleet row can be told to belong to one of them."""
+    shared = registered_keys(rfb).where(F.col("qt_candidatos") > 1)
+    return registered_municipalities(rfb).join(
+        shared.select("nm_chave", "sigla_uf", "qt_candidatos"), ["nm_chave", "sigla_uf"]
+    )
+
+
+def duplicated_grain(fact: DataFrame) -> DataFrame:
+    """Municipality, fuel and month that more than one fact row has, with rows and vehicles: a
+    month published in two files is counted twice in every sum. Missing keys count as a key."""
+    grain = ["id_municipio", "id_combustivel", "id_data"]
+    return (
+        fact.groupBy(*grain)
+        .agg(F.count("*").alias("qt_registros"), F.sum("qt_veiculos").alias("qt_veiculos"))
+        .where(F.col("qt_registros") > 1)
     )
-    missing = unmatched(matches).select(
-        "sigla_uf", normalize_name("nm_municipio").alias("nm_chave")
+
+
+def closest_registered(matches: DataFrame, rfb: DataFrame, max_distance: int = 2) -> DataFrame:
+    """Each unmatched fleet municipality with the closest registered name of its state.
+
+    Names without one in reach, and names whose state is unknown, have NULL for it.
+    """
+    listed = registered_municipalities(rfb).select("sigla_uf", "nm_chave", "cd_ibge_municipio")
+    missing = (
+        unmatched(matches)
+        .select("sigla_uf", normalize_name("nm_municipio").alias("nm_chave"))
+        .distinct()
     )
-    return closest_names(
+    closest = closest_names(
         missing.dropna(), listed.dropna(subset=["sigla_uf", "nm_chave"]),
         block="sigla_uf", name="nm_chave", value="cd_ibge_municipio", max_distance=max_distance,
     )
+    return missing.join(closest, ["sigla_uf", "nm_chave"], "left")
 
 
 def undated_files(files: DataFrame) -> DataFrame:

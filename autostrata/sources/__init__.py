@@ -5,6 +5,7 @@ from autostrata.sources.files import (
     read_yearly,
     select_years,
     write_yearly,
+    yearly_layouts,
 )
 from autostrata.sources.pages import container_links, linked_files
 from autostrata.sources.tables import full_load, save_table, use_layer
@@ -21,4 +22,5 @@ __all__ = [
     "select_years",
     "use_layer",
     "write_yearly",
+    "yearly_layouts",
 ]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autostrata.functions.filenames import percent_decoded
+
 # Column names and types of the two raw tables.
 FLEET_SCHEMA = (
     "nm_uf string, nm_municipio string, nm_combustivel string, qtd_veiculos int, nm_file string"
@@ -79,8 +83,7 @@ def consolidate(
     are NULL. All columns are strings. ``provenance`` is the plain name of the file a row comes
     from, and ``year``, on request, the number its folder is named by.
     """
-    file_name = F.col("_metadata.file_name")
-    origin = [F.coalesce(F.try_url_decode(file_name), file_name).alias(provenance)]
+    origin = [percent_decoded(F.col("_metadata.file_name")).alias(provenance)]
     if year is not None:
         folder = F.regexp_extract("_metadata.file_path", r"/(\d+)/[^/]*$", 1)
         origin.append(F.nullif(folder, F.lit("")).cast("int").alias(year))
@@ -91,6 +94,33 @@ def consolidate(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def yearly_layouts(
+    spark: SparkSession, root: str, years: list[int] | None = None, suffix: str = ".csv"
+) -> list[list[str]]:
+    """The files below ``root`` in folders named by a year, in groups that share a header.
+
+    Only names that end in ``suffix`` count, and only folders whose whole name is a number; years
+    without a folder or without files are left out. The driver sees paths and one line of each
+    file, no data.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .options(recursiveFileLookup="true", pathGlobFilter=f"*{suffix}")
+        .load(root)
+        .select("path")
+    )
+    base = re.compile(rf".*/(\d+)/[^/]*{re.escape(suffix)}")
+    groups: dict[str, list[str]] = defaultdict(list)
+    for path in sorted(row[0] for row in listed.collect()):
+        year = base.fullmatch(path)
+        if year and (years is None or int(year[1]) in years):
+            plain = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+            header = spark.read.text(plain).head(1)
+            if header:
+                groups[header[0][0]].append(plain)
+    return list(groups.values())
+
+
 def select_years(df: DataFrame, years: list[int] | None = None, year: str = "nr_ano") -> DataFrame:
     """Rows of the listed years, or all rows. On a frame laid out by year only those are read."""
     return df if years is None else df.where(F.col(year).isin(years))
@@ -101,15 +131,16 @@ def write_yearly(
 ) -> None:
     """CSV output with one folder per year; by default the fleet columns in the declared order.
 
-    Rows are rebalanced by year first: small years share tasks and a large year is split over
-    many, so there are neither tiny files nor one task writing a whole year.
+    The years in ``df`` replace what the output has of them; other years stay. Rows are rebalanced
+    by year first: small years share tasks and a large year is split over many, so there are
+    neither tiny files nor one task writing a whole year.
     """
     chosen = df if columns is None else df.select(*columns, year)
     (
         chosen.hint("rebalance", year)
         .write.mode("overwrite")
         .partitionBy(year)
-        .options(header="true", encoding="UTF-8")
+        .options(header="true", encoding="UTF-8", partitionOverwriteMode="dynamic")
         .csv(path)
     )
 

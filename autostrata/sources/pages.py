@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,21 @@ from autostrata.functions.filenames import link_file_name
 _COMMENT = r"(?s)<!--.*?-->"
 _RAW_TEXT = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
 
-_ANCHOR = r"<a(?=[\s/>])[^>]*>"
-_HREF = r"(?is)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+# What may stand in a tag after its name: quoted values may hold any letter. Nothing is tried twice.
+_REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_ANCHOR = rf"<a(?=[\s/>]){_REST}"
 
-# Character references that occur in links.
-_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# The highest code point; larger numbers are no character references.
+_LAST = 0x10FFFF
+
+
+def _attributes_before(name: str) -> str:
+    """Attributes of a tag, in order, up to the first one called ``name``."""
+    value = r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+"
+    return rf"(?:[\s/]++(?!{name}[\s=])[^\s\"'<>/=]++{value})*+[\s/]++{name}\s*+=\s*+"
+
+
+_HREF = rf"(?is)\A<a{_attributes_before('href')}(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
 
 def _markup(html: Column) -> Column:
@@ -28,46 +39,72 @@ def _container_anchors(html: Column, tag: str, element_id: str | None) -> Column
     """Anchor tags inside the first matching container, nested elements of its kind included.
 
     The tags after the container's opening tag are walked in order while counting how many
-    elements of the container's kind are open; the walk is over when the container closes.
+    elements of the container's kind are open; the anchors before the one that closes it count.
     """
     name = re.escape(tag)
     if element_id is None:
-        opening = rf"<{name}(?=[\s/>])[^>]*>"
+        opening = rf"<{name}(?=[\s/>]){_REST}"
     else:
         wanted = re.escape(element_id)
         opening = (
-            rf"<{name}(?=\s)[^>]*?\sid\s*=\s*"
-            rf"(?:\"{wanted}\"|'{wanted}'|{wanted}(?=[\s>]))[^>]*>"
+            rf"<{name}{_attributes_before('id')}"
+            rf"(?:\"{wanted}\"|'{wanted}'|{wanted}(?=[\s>])){_REST}"
         )
     body = F.regexp_extract(html, rf"(?is){opening}(.*)\z", 1)
     tags = F.regexp_extract_all(
-        body, F.lit(rf"(?is)({_ANCHOR}|<{name}(?=[\s/>])[^>]*>|</{name}\s*>)"), F.lit(1)
+        body, F.lit(rf"(?is)({_ANCHOR}|<{name}(?=[\s/>]){_REST}|</{name}\s*>)"), F.lit(1)
     )
-    start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("found"))
-    depth, found = "depth", "found"
+    # Depth before the next tag, number of tags so far, and the number of the closing one.
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"))
 
     def step(state: Column, piece: Column) -> Column:
         change = (
             F.when(piece.rlike(rf"(?is)\A</{name}"), -1)
+            .when(piece.rlike(r"(?s)/\s*>\z"), 0)  # closed by itself
             .when(piece.rlike(rf"(?is)\A<{name}(?=[\s/>])"), 1)
             .otherwise(0)
         )
-        inside = (state[depth] > 0) & (change == 0)
+        depth, at = state["depth"] + change, state["at"] + 1
+        closed = (depth == 0) & (state["end"] == 0)
         return F.struct(
-            F.when(state[depth] > 0, state[depth] + change).otherwise(0).alias(depth),
-            F.when(inside, F.concat(state[found], F.array(piece)))
-            .otherwise(state[found])
-            .alias(found),
+            depth.alias("depth"),
+            at.alias("at"),
+            F.when(closed, at).otherwise(state["end"]).alias("end"),
         )
 
-    return F.aggregate(tags, start, step, lambda state: state[found])
+    end = F.aggregate(tags, start, step, lambda state: state["end"])
+    inside = F.slice(tags, F.lit(1), F.when(end > 0, end).otherwise(F.size(tags)))
+    return F.filter(inside, lambda piece: piece.rlike(r"(?is)\A<a[\s/>]"))
+
+
+def _decoded(value: Column) -> Column:
+    """The value with its numeric and named character references replaced."""
+    named = F.create_map(
+        *(F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code)))
+    )
+    parts = F.split(value, "&")
+
+    def letter(part: Column) -> Column:
+        reference = F.regexp_extract(part, r"\A(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z0-9]+);", 1)
+        number = F.when(
+            reference.rlike(r"\A#[xX]"), F.conv(F.substr(reference, F.lit(3)), 16, 10)
+        ).otherwise(F.when(reference.startswith("#"), F.substr(reference, F.lit(2))))
+        code = number.cast("bigint")
+        # Halves of surrogate pairs are no characters.
+        valid = (code > 0) & (code <= _LAST) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(
+            valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        ).otherwise(F.try_element_at(named, reference))
+        rest = F.substr(part, F.length(reference) + 2)
+        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    others = F.transform(F.slice(parts, F.lit(2), F.size(parts)), letter)
+    whole = F.concat(F.element_at(parts, 1), F.array_join(others, ""))
+    return F.when(F.contains(value, F.lit("&")), whole).otherwise(value)
 
 
 def _href(anchor: Column) -> Column:
-    value = F.concat(*(F.regexp_extract(anchor, _HREF, i) for i in (1, 2, 3)))
-    for reference, letter in _REFERENCES:
-        value = F.replace(value, F.lit(reference), F.lit(letter))
-    return value
+    return _decoded(F.concat(*(F.regexp_extract(anchor, _HREF, i) for i in (1, 2, 3))))
 
 
 def container_links(

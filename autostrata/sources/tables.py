@@ -54,8 +54,13 @@ def _overwrite(
 def full_load(
     df: DataFrame, table: str, table_format: str = TABLE_FORMAT, path: str | None = None
 ) -> DataFrame:
-    """Drop the table, create it anew from ``df``, and return a scan of it."""
+    """Drop the table, create it anew from ``df``, and return a scan of it.
+
+    The rows are written to the staging folder first, so a load that fails leaves the old table
+    as it is, and ``df`` may read the table itself.
+    """
     spark = df.sparkSession
+    df = materialize(df, "load")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     _overwrite(df, table, table_format, path, None)
     return spark.table(table)

@@ -7,6 +7,8 @@ lets the optimizer decide by itself whether a join side is small enough to broad
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,8 +22,9 @@ from pyspark.sql import functions as F
 def staging_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the session's checkpoint folder.
 
-    Only a local-mode session without that setting gets a temporary folder. On a cluster the
-    folder has to be reachable from every executor, so a missing setting is an error there.
+    Only a local-mode session without that setting gets a temporary folder, deleted when Python
+    ends. On a cluster the folder has to be reachable from every executor, so a missing setting is
+    an error there; whether a path that is set is a shared one cannot be seen from its name.
     """
     context = spark.sparkContext
     root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -29,6 +32,7 @@ def staging_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="autostrata-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         context.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -67,3 +71,9 @@ def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     rows = Observation()
     copy = materialize(df.observe(rows, F.count(F.lit(1)).alias("n")), label)
     return copy, rows.get["n"]
+
+
+def stored_bytes(copy: DataFrame) -> int:
+    """Size of the files of a written frame."""
+    files = copy.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]

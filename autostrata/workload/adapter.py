@@ -1,22 +1,26 @@
 """The raw layer in terms of the test tables.
 
-A supplier plays a municipality, a nation a state, a region itself, a part's brand a fuel type,
-and a month of shipments one monthly file; the quantity shipped is the vehicle count. Account
-balances decide where the municipality list is flawed: a negative one means no code, the highest
-ones mean a misspelled or absent entry.
+A supplier plays a municipality, its nation key one of the states, brand and size of a part its
+fuel type, and a month of shipments one monthly file; the quantity shipped is the vehicle count.
+Account balances decide where the municipality list is flawed: a negative one means no code, the
+highest ones mean a misspelled or absent entry.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from autostrata import seeds
+from autostrata.staging import staging_path
 
 FILE_PREFIX = "D_Frota_por_UF_Municipio_COMBUSTIVEL_"
 
-# A brand that the fuel mapping does not know.
-UNKNOWN_BRAND = "Brand#25"
+# A fuel that the mapping does not know, beside those that it knows.
+UNKNOWN_FUEL = "COMBUSTIVEL NOVO"
+FUELS = [*(fuel for fuels in seeds.FUELS_BY_GROUP.values() for fuel in fuels), UNKNOWN_FUEL]
 
 # Balance above which a supplier is absent from the municipality list, and misspelled in it.
 ABSENT_ABOVE = 9000
@@ -25,8 +29,6 @@ MISSPELLED_ABOVE = 9500
 
 # The test tables' columns. Declaring them saves the job that reads file footers for a schema.
 SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": (
         "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
     ),
@@ -49,32 +51,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _of_state(values: list[str], nation_key: str) -> Column:
+    return F.array(*map(F.lit, values))[F.col(nation_key)]
+
+
 def _state_code(nation_key: str) -> Column:
-    return F.concat(F.lit("N"), F.lpad(F.col(nation_key).cast("string"), 2, "0"))
+    return _of_state([code for code, _, _ in seeds.STATES], nation_key)
+
+
+def _plain_state_name(nation_key: str) -> Column:
+    names = (unicodedata.normalize("NFD", name) for _, name, _ in seeds.STATES)
+    return _of_state(["".join(c for c in n if not unicodedata.combining(c)) for n in names], nation_key)
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State lookup: code, accented name, region."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        _state_code("n_nationkey").alias("sigla_uf"),
-        F.translate("n_name", "AO", "ÁÕ").alias("nm_uf"),
-        F.col("r_name").alias("nm_regiao"),
-    )
+    return seeds.states(spark)
+
+
+def _fuel() -> Column:
+    """The fuel type of a part."""
+    number = F.substring_index("p_brand", "#", -1).cast("int") * 7 + F.col("p_size")
+    return F.array(*map(F.lit, FUELS))[number % len(FUELS)]
 
 
 def fuels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fuel mapping of all brands but one; the brand number decides the group."""
-    groups = F.array(*map(F.lit, seeds.FUELS_BY_GROUP))
-    group = F.substring_index("p_brand", "#", -1).cast("int") % len(seeds.FUELS_BY_GROUP)
-    return (
-        table(spark, sf_dir, "part")
-        .select("p_brand")
-        .distinct()
-        .where(F.col("p_brand") != UNKNOWN_BRAND)
-        .select(F.col("p_brand").alias("nm_combustivel"), groups[group].alias("nm_grupo"))
-        .withColumn("fl_identificado", F.col("nm_grupo") != seeds.UNIDENTIFIED)
-    )
+    """Fuel mapping, of the fuel types that occur among the parts."""
+    used = table(spark, sf_dir, "part").select(_fuel().alias("nm_combustivel")).distinct()
+    return used.join(seeds.fuels(spark), "nm_combustivel")
 
 
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,10 +110,10 @@ def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fleet rows in the raw shape, one per supplier, brand and month.
+    """Fleet rows in the raw shape, one per supplier, fuel type and month.
 
-    The shipments are summed before supplier and nation are joined; no size is assumed for
-    supplier and part, so Spark picks those joins by the size of the tables.
+    The shipments are summed before the supplier is joined; no size is assumed for supplier and
+    part, so Spark picks those joins by the size of the tables.
     """
     shipped = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
@@ -117,22 +121,20 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         F.trunc(F.col("l_shipdate").cast("date"), "month").alias("_month"),
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    part = table(spark, sf_dir, "part").select("p_partkey", _fuel().alias("_fuel"))
     counts = (
         shipped.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_suppkey", "p_brand", "_month")
+        .groupBy("l_suppkey", "_fuel", "_month")
         .agg(F.sum("l_quantity").cast("int").alias("qtd_veiculos"))
     )
     month_names = F.array(*map(F.lit, seeds.MONTHS))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         counts.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("n_name").alias("nm_uf"),
+            _plain_state_name("s_nationkey").alias("nm_uf"),
             F.upper("s_name").alias("nm_municipio"),
-            F.col("p_brand").alias("nm_combustivel"),
+            F.col("_fuel").alias("nm_combustivel"),
             "qtd_veiculos",
             F.concat(
                 F.lit(FILE_PREFIX),
@@ -152,3 +154,34 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_suppkey") + 1_000_000).cast("string").alias("cd_ibge_municipio"),
         F.nullif(inhabitants, F.lit(0)).alias("populacao_estimada"),
     )
+
+
+def coarse_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The municipality list with names that several entries of a state share."""
+    name = F.trim("nm_municipio_upper")
+    shorter = F.substr(name, F.lit(1), F.lit(len("SUPPLIER#0000000")))
+    return municipalities(spark, sf_dir).withColumn("nm_municipio_upper", shorter)
+
+
+def republished(fleet: DataFrame) -> DataFrame:
+    """The fleet with every April in a second file, whose name differs in its letters' case."""
+    april = f"_{seeds.MONTHS[3]}_"
+    again = F.replace("nm_file", F.lit(april), F.lit(april.upper()))
+    return fleet.union(
+        fleet.where(F.contains("nm_file", F.lit(april))).withColumn("nm_file", again)
+    )
+
+
+def write_named(df: DataFrame, folder: str, name: str) -> None:
+    """CSV files called ``name`` with a running number, as a publisher might call them."""
+    spark = df.sparkSession
+    path = staging_path(spark, "layout")
+    df.write.option("header", "true").csv(path)
+    jvm, context = spark._jvm, spark.sparkContext
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(context._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+    parts = fs.globStatus(jvm.org.apache.hadoop.fs.Path(source, "part-*.csv"))
+    for number, part in enumerate(parts):
+        target = jvm.org.apache.hadoop.fs.Path(folder, f"{name}_{number}.csv")
+        fs.rename(part.getPath(), target)

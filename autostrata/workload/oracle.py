@@ -2,29 +2,35 @@
 
 from __future__ import annotations
 
+from autostrata import seeds
+
 # The raw layer (see adapter.py) and the silver layer as common table expressions.
-STATES = """
+# The fixed lists as SQL literals.
+_STATE_ROWS = ", ".join(f"('{code}', '{name}', '{region}')" for code, name, region in seeds.STATES)
+_STATE_CODES = "[" + ", ".join(f"'{code}'" for code, _, _ in seeds.STATES) + "]"
+_STATE_NAMES = "[" + ", ".join(f"'{name}'" for _, name, _ in seeds.STATES) + "]"
+_FUEL_ROWS = ", ".join(
+    f"('{fuel}', '{group}')" for group, fuels in seeds.FUELS_BY_GROUP.items() for fuel in fuels
+)
+_FUEL_NAMES = (
+    "[" + ", ".join(f"'{f}'" for fuels in seeds.FUELS_BY_GROUP.values() for f in fuels)
+    + ", 'COMBUSTIVEL NOVO']"
+)
+_FUEL = f"{_FUEL_NAMES}[(CAST(split_part(p_brand, '#', 2) AS INTEGER) * 7 + p_size) % 30 + 1]"
+
+STATES = f"""
 states AS (
-  SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS sigla_uf,
-         translate(n_name, 'AO', 'ÁÕ') AS nm_uf, r_name AS nm_regiao
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  SELECT * FROM (VALUES {_STATE_ROWS}) AS t(sigla_uf, nm_uf, nm_regiao)
 )"""
 
-FUELS = """
+FUELS = f"""
 fuels AS (
   SELECT nm_combustivel, nm_grupo, nm_grupo <> 'Não Identificado' AS fl_identificado
-  FROM (
-    SELECT p_brand AS nm_combustivel,
-           CASE CAST(split_part(p_brand, '#', 2) AS INTEGER) % 6
-             WHEN 0 THEN 'Elétrico Puro' WHEN 1 THEN 'Híbrido' WHEN 2 THEN 'Flex'
-             WHEN 3 THEN 'Combustão Fóssil' WHEN 4 THEN 'Combustão Renovável'
-             ELSE 'Não Identificado' END AS nm_grupo
-    FROM (SELECT DISTINCT p_brand FROM part)
-    WHERE p_brand <> 'Brand#25'
-  )
+  FROM (VALUES {_FUEL_ROWS}) AS t(nm_combustivel, nm_grupo)
+  WHERE nm_combustivel IN (SELECT {_FUEL} FROM part)
 )"""
 
-MUNICIPALITIES = """
+MUNICIPALITIES = f"""
 rfb AS (
   SELECT CAST(s_suppkey AS INTEGER) AS id_municipio,
          CASE WHEN s_suppkey = 0 THEN '0'
@@ -35,14 +41,15 @@ rfb AS (
            'UEI', 'ÚÉÍ') || ' ' AS nm_municipio_upper,
          s_name AS nm_municipio_formatted,
          CASE WHEN s_suppkey = 0 THEN 'EX'
-              ELSE ' n' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') END AS sigla_uf
+              ELSE ' ' || lower({_STATE_CODES}[s_nationkey + 1]) END AS sigla_uf
   FROM supplier
   WHERE s_acctbal <= 9000 OR s_acctbal > 9500
 )"""
 
-FLEET = """
+FLEET = f"""
 fleet AS (
-  SELECT n_name AS nm_uf, upper(s_name) AS nm_municipio, p_brand AS nm_combustivel,
+  SELECT strip_accents({_STATE_NAMES}[s_nationkey + 1]) AS nm_uf, upper(s_name) AS nm_municipio,
+         {_FUEL} AS nm_combustivel,
          CAST(sum(l_quantity) AS INTEGER) AS qtd_veiculos,
          year(l_shipdate) AS y, month(l_shipdate) AS m,
          'D_Frota_por_UF_Municipio_COMBUSTIVEL_' || CASE month(l_shipdate)
@@ -54,8 +61,7 @@ fleet AS (
   FROM lineitem
   JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation ON s_nationkey = n_nationkey
-  GROUP BY s_suppkey, s_name, n_name, p_brand, year(l_shipdate), month(l_shipdate)
+  GROUP BY s_suppkey, s_name, s_nationkey, {_FUEL}, year(l_shipdate), month(l_shipdate)
 )"""
 
 REGISTERED = """
@@ -96,6 +102,8 @@ matches AS (
   SELECT f.nm_uf, f.nm_municipio, strip_accents(f.nm_municipio) AS nm_municipio_norm,
          s.sigla_uf, r.cd_ibge_municipio, r.nm_municipio_formatted,
          r.nm_chave IS NOT NULL AS fl_encontrado,
+         (SELECT count(*) FROM registered c
+          WHERE c.nm_chave = r.nm_chave AND c.sigla_uf = r.sigla_uf) AS qt_candidatos,
          regexp_replace(upper(strip_accents(f.nm_municipio)), '[^A-Z0-9 ]', '', 'g') AS nm_chave
   FROM (SELECT DISTINCT nm_uf, nm_municipio FROM fleet) f
   LEFT JOIN states s ON strip_accents(f.nm_uf) = strip_accents(s.nm_uf)
@@ -203,11 +211,17 @@ ORACLE: dict[str, str] = {
         "SELECT nm_uf, nm_municipio, nm_combustivel, qtd_veiculos, nm_file, "
         "strip_accents(nm_uf) AS nm_uf_norm FROM fleet",
     ),
+    "years_replaced": _query(
+        [FLEET],
+        "SELECT nm_uf, nm_municipio, nm_combustivel, qtd_veiculos, nm_file, "
+        "CAST(y AS INTEGER) AS nr_ano FROM fleet",
+    ),
     "consolidated_files": """
-SELECT s_name AS nome, s_nationkey AS uf, s_acctbal, NULL AS c_mktsegment, true AS fl_arquivo
+SELECT s_name AS nome, s_nationkey AS uf, s_acctbal, NULL AS c_mktsegment,
+       'fornecedor+uf.csv' AS nm_file, CAST(2024 AS INTEGER) AS nr_ano
 FROM supplier
 UNION ALL
-SELECT c_name, c_nationkey, NULL, c_mktsegment, true FROM customer""",
+SELECT c_name, c_nationkey, NULL, c_mktsegment, 'cliente.csv', 2024 FROM customer""",
     "uf_lookup": _query(
         [STATES, FLEET],
         """
@@ -268,8 +282,7 @@ FROM with_state""",
         _LISTED,
         """
 SELECT * FROM with_state WHERE cd_ibge_municipio IS NULL
-ORDER BY nm_uf NULLS FIRST, nm_municipio_norm NULLS FIRST, nm_municipio_formatted NULLS FIRST
-LIMIT 100""",
+ORDER BY nm_uf NULLS FIRST, nm_municipio_norm NULLS FIRST, nm_municipio_formatted NULLS FIRST""",
     ),
     "exterior_filter": _query(
         _LISTED, "SELECT * FROM with_state WHERE cd_ibge_municipio <> '0'"
@@ -289,13 +302,15 @@ LIMIT 100""",
         _MATCHED,
         """
 SELECT count(*) AS qt_total, count(*) FILTER (NOT fl_encontrado) AS qt_sem_match,
-       round(100.0::DOUBLE * count(*) FILTER (NOT fl_encontrado) / count(*), 2) AS pc_sem_match
+       round(100.0::DOUBLE * count(*) FILTER (NOT fl_encontrado) / count(*), 2) AS pc_sem_match,
+       count(*) FILTER (qt_candidatos > 1) AS qt_ambiguos
 FROM matches""",
     ),
     "fuzzy_match": _query(
         _MATCHED,
         """
-SELECT sigla_uf, nm_chave, nm_candidato, cd_ibge_municipio, nr_distancia FROM (
+SELECT DISTINCT u.sigla_uf, u.nm_chave, nm_candidato, b.cd_ibge_municipio, nr_distancia
+FROM matches u LEFT JOIN (SELECT * FROM (
   SELECT m.sigla_uf, m.nm_chave, r.nm_chave AS nm_candidato, r.cd_ibge_municipio,
          CAST(levenshtein(m.nm_chave, r.nm_chave) AS INTEGER) AS nr_distancia,
          row_number() OVER (PARTITION BY m.sigla_uf, m.nm_chave
@@ -303,12 +318,14 @@ SELECT sigla_uf, nm_chave, nm_candidato, cd_ibge_municipio, nr_distancia FROM (
                     r.cd_ibge_municipio NULLS FIRST) AS nr
   FROM matches m JOIN registered r ON r.sigla_uf = m.sigla_uf
   WHERE NOT m.fl_encontrado AND levenshtein(m.nm_chave, r.nm_chave) <= 2
-) WHERE nr = 1""",
+) WHERE nr = 1) b ON b.sigla_uf = u.sigla_uf AND b.nm_chave = u.nm_chave
+WHERE NOT u.fl_encontrado""",
     ),
-    "bad_file_names": _query([LINKS.replace("\ntags", "tags", 1)], _links(
+    "bad_file_names": _query([FLEET, LINKS], _links(
         _NAV, "contains(lower(h), 'the')"
     ).lstrip() + f"""
-SELECT DISTINCT nm_file FROM (SELECT {_FILE_NAME} FROM links)
+SELECT DISTINCT nm_file
+FROM (SELECT {_FILE_NAME} FROM links UNION ALL SELECT nm_file FROM fleet)
 WHERE NOT regexp_matches(nm_file, '_(Janeiro|Fevereiro|Marco|Março|Abril|Maio|Junho|Julho|Agosto|'
   || 'Setembro|Outubro|Novembro|Dezembro)_[0-9]{{4}}\\.xlsx')"""),
     "fato_orphans": _query(
@@ -319,6 +336,32 @@ SELECT count(*) AS qt_registros,
        count(*) FILTER (id_combustivel IS NULL) AS qt_sem_combustivel,
        count(*) FILTER (id_data IS NULL) AS qt_sem_data
 FROM fact""",
+    ),
+    "duplicated_grain": _query(
+        _FACT,
+        """
+SELECT id_municipio, id_combustivel, id_data, count(*) AS qt_registros,
+       CAST(sum(qt_veiculos) AS BIGINT) AS qt_veiculos
+FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE id_data % 100 = 4)
+GROUP BY id_municipio, id_combustivel, id_data HAVING count(*) > 1""",
+    ),
+    "ambiguous_municipalities": _query(
+        [
+            MUNICIPALITIES,
+            """
+coarse AS (
+  SELECT cd_municipio AS cd_ibge_municipio,
+         strip_accents(left(trim(nm_municipio_upper), 16)) AS nm_municipio_norm,
+         regexp_replace(upper(strip_accents(left(trim(nm_municipio_upper), 16))), '[^A-Z0-9 ]',
+                        '', 'g') AS nm_chave,
+         nm_municipio_formatted, upper(trim(sigla_uf)) AS sigla_uf
+  FROM rfb
+)""",
+        ],
+        """
+SELECT * FROM (
+  SELECT *, count(*) OVER (PARTITION BY nm_chave, sigla_uf) AS qt_candidatos FROM coarse
+) WHERE qt_candidatos > 1""",
     ),
     "homonyms": """
 SELECT p_name, count(DISTINCT p_brand) AS qt_grupos FROM part

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -21,6 +22,7 @@ from autostrata.sources import (
     save_table,
     use_layer,
     write_yearly,
+    yearly_layouts,
 )
 from autostrata.sources.files import FLEET_COLUMNS
 from autostrata.staging import materialize, staging_path
@@ -29,19 +31,12 @@ from autostrata.workload import adapter
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-class Silver(NamedTuple):
-    """What the fact and gold queries of one run start from."""
+class Keyed(NamedTuple):
+    """Fleet rows with keys, and the dimensions that have them."""
 
-    fleet: DataFrame
-    states: DataFrame
+    rows: DataFrame
     municipalities: DataFrame
     fuels: DataFrame
-    dates: DataFrame
-    dated_files: DataFrame
-
-    def rows(self) -> DataFrame:
-        """Fleet rows with their keys."""
-        return silver.fleet_keys(*self)
 
 
 def _dim_municipio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,21 +44,21 @@ def _dim_municipio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dim_combustivel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.dim_combustivel(adapter.fuels(spark, sf_dir), fixed_list=False)
+    return silver.dim_combustivel(adapter.fuels(spark, sf_dir))
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> Silver:
-    """Bronze as a saved table, and the dimensions on top of it."""
-    fleet = materialize(adapter.fleet(spark, sf_dir), "bronze")
-    dated_files = materialize(silver.file_dates(fleet), "files")
-    return Silver(
-        fleet,
-        adapter.states(spark, sf_dir),
-        _dim_municipio(spark, sf_dir),
-        _dim_combustivel(spark, sf_dir),
-        silver.dim_data(dated_files),
-        dated_files,
+def _keyed(spark: SparkSession, sf_dir: str) -> Keyed:
+    """Rows and dimensions with names for keys, which need no numbering beforehand. Only lists of
+    spellings are written, nothing of the size of the fleet."""
+    states = adapter.states(spark, sf_dir)
+    listed = silver.without_abroad(
+        silver.with_state(adapter.municipalities(spark, sf_dir), states)
     )
+    name = F.concat_ws("/", "sigla_uf", "nm_municipio_norm", "cd_ibge_municipio")
+    municipalities = listed.withColumn("id_municipio", name)
+    fuels = adapter.fuels(spark, sf_dir).withColumn("id_combustivel", F.col("nm_combustivel"))
+    rows = silver.fleet_keys(adapter.fleet(spark, sf_dir), states, municipalities, fuels)
+    return Keyed(rows, municipalities, fuels)
 
 
 def _with_year(fleet: DataFrame) -> DataFrame:
@@ -84,17 +79,26 @@ def bronze_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.fleet(spark, sf_dir)
 
 
+def years_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A yearly output written year range by year range, one of them twice: all years stay."""
+    path = staging_path(spark, "yearly")
+    rows = _with_year(adapter.fleet(spark, sf_dir))
+    for years in ("nr_ano < 1996", "nr_ano >= 1996", "nr_ano = 1995"):
+        write_yearly(rows.where(years), path)
+    return read_yearly(spark, path)
+
+
 def fleet_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly CSV output, then the glob scan with the declared schema."""
     path = staging_path(spark, "yearly")
-    write_yearly(_with_year(materialize(adapter.fleet(spark, sf_dir), "bronze")), path)
+    write_yearly(_with_year(adapter.fleet(spark, sf_dir)), path)
     return read_fleet(spark, f"{path}/*/*.csv").select(FLEET_COLUMNS)
 
 
 def year_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two years out of a yearly layout; the other folders are not read."""
     path = staging_path(spark, "yearly")
-    write_yearly(_with_year(materialize(adapter.fleet(spark, sf_dir), "bronze")), path)
+    write_yearly(_with_year(adapter.fleet(spark, sf_dir)), path)
     return read_yearly(spark, path, [1996, 1997])
 
 
@@ -110,35 +114,43 @@ def municipality_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table created by a full load, then overwritten from itself with one more column."""
-    use_layer(spark, "bronze")
-    table = "bronze.frota_carga"
-    loaded = full_load(adapter.fleet(spark, sf_dir), table, path=staging_path(spark, "load"))
-    longer = loaded.withColumn("nm_uf_norm", strip_accents("nm_uf"))
-    save_table(longer, table, path=staging_path(spark, "load"))
-    spark.catalog.setCurrentDatabase("default")
-    return spark.table(table)
+    """A table created by a full load, loaded again from itself, then overwritten with one more
+    column. Schema and table are gone in the end; what is returned is a scan of the files."""
+    before, layer = spark.catalog.currentDatabase(), f"carga_{uuid.uuid4().hex}"
+    use_layer(spark, layer)
+    try:
+        table, path = f"{layer}.frota", staging_path(spark, "load")
+        loaded = full_load(adapter.fleet(spark, sf_dir), table, path=staging_path(spark, "load"))
+        again = full_load(loaded, table, path=staging_path(spark, "load"))
+        longer = again.withColumn("nm_uf_norm", strip_accents("nm_uf"))
+        save_table(longer, table, path=path)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE {layer} CASCADE")
+    return spark.read.parquet(path)
 
 
 def consolidated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two file layouts with differing headers as one frame, with the folder's rows by file."""
-    suppliers, customers = staging_path(spark, "layout"), staging_path(spark, "layout")
-    options = {"header": "true"}
-    supplier = adapter.table(spark, sf_dir, "supplier")
-    supplier.select(
+    """Files with two headers in one year's folder as one frame, with the rows' file names; other
+    folders and other files are not looked at."""
+    root = staging_path(spark, "root")
+    supplier = adapter.table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("nome"), F.col("s_nationkey").alias("uf"), "s_acctbal"
-    ).write.options(**options).csv(suppliers)
-    customer = adapter.table(spark, sf_dir, "customer")
-    customer.select(
+    )
+    customer = adapter.table(spark, sf_dir, "customer").select(
         "c_mktsegment", F.col("c_nationkey").alias("uf"), F.col("c_name").alias("nome")
-    ).write.options(**options).csv(customers)
-    both = consolidate(spark, [suppliers, customers])
+    )
+    adapter.write_named(supplier, f"{root}/2024", "fornecedor+uf")
+    adapter.write_named(customer, f"{root}/2024", "cliente")
+    adapter.write_named(customer, f"{root}/2024_old", "cliente")
+    both = consolidate(spark, yearly_layouts(spark, root, [2024, 2099]), year="nr_ano")
     return both.select(
         "nome",
         F.col("uf").cast("int").alias("uf"),
         F.col("s_acctbal").cast("double").alias("s_acctbal"),
         "c_mktsegment",
-        F.endswith("nm_file", F.lit(".csv")).alias("fl_arquivo"),
+        F.regexp_replace("nm_file", "_[0-9]+[.]", ".").alias("nm_file"),
+        "nr_ano",
     )
 
 
@@ -165,7 +177,14 @@ def dim_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fato_frota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.fato_frota(*_silver(spark, sf_dir))
+    """The fixture has one row per municipality, fuel and month, so no copy of it is needed."""
+    return silver.fato_frota(
+        adapter.fleet(spark, sf_dir),
+        adapter.states(spark, sf_dir),
+        _dim_municipio(spark, sf_dir),
+        _dim_combustivel(spark, sf_dir),
+        unique=True,
+    )
 
 
 # --- audits --------------------------------------------------------------------------------
@@ -215,7 +234,22 @@ def bad_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fato_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.missing_keys(_silver(spark, sf_dir).rows())
+    return quality.missing_keys(_keyed(spark, sf_dir).rows)
+
+
+def duplicated_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Municipalities, fuels and months counted twice, since each April is published twice."""
+    fleet = adapter.republished(adapter.fleet(spark, sf_dir))
+    states = adapter.states(spark, sf_dir)
+    rows = silver.fleet_keys(
+        fleet, states, _dim_municipio(spark, sf_dir), _dim_combustivel(spark, sf_dir)
+    )
+    return quality.duplicated_grain(rows)
+
+
+def ambiguous_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of a list with shortened names that share their name within a state."""
+    return quality.ambiguous(adapter.coarse_municipalities(spark, sf_dir))
 
 
 def homonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,8 +264,7 @@ def quality_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.monthly_totals(s.rows(), s.municipalities, s.fuels)
+    return gold.monthly_totals(*_keyed(spark, sf_dir))
 
 
 def gold_eletrica_hibrida(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,13 +300,21 @@ def gold_flex_vs_combustao(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_municipio_ranking(s.rows(), s.municipalities, s.fuels)
+    """The latest month is that of the files, so only rows of its files are joined."""
+    fleet, states = adapter.fleet(spark, sf_dir), adapter.states(spark, sf_dir)
+    municipalities, fuels = _dim_municipio(spark, sf_dir), _dim_combustivel(spark, sf_dir)
+    seen = silver.spellings(fleet)
+    files = materialize(silver.file_dates(seen.files), "files")
+    month = files.agg(F.max("id_data")).first()[0]
+    rows = silver.fleet_keys(
+        fleet, states, municipalities, fuels, dated_files=files, month=month or 0, seen=seen
+    )
+    return gold.frota_municipio_ranking(rows, municipalities, fuels, month=month or 0)
 
 
 def per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.frota_per_capita(s.rows(), s.municipalities, adapter.population(spark, sf_dir))
+    s = _keyed(spark, sf_dir)
+    return gold.frota_per_capita(s.rows, s.municipalities, adapter.population(spark, sf_dir))
 
 
 # --- text and links ------------------------------------------------------------------------
@@ -304,6 +345,7 @@ def link_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "bronze_fleet": bronze_fleet,
     "fleet_csv_load": fleet_csv_load,
+    "years_replaced": years_replaced,
     "year_filter": year_filter,
     "municipality_csv_load": municipality_csv_load,
     "full_load_tables": full_load_tables,
@@ -327,6 +369,8 @@ QUERIES: dict[str, Query] = {
     "fuzzy_match": fuzzy_match,
     "bad_file_names": bad_file_names,
     "fato_orphans": fato_orphans,
+    "duplicated_grain": duplicated_grain,
+    "ambiguous_municipalities": ambiguous_municipalities,
     "homonyms": homonyms,
     "quality_alert": quality_alert,
     "gold_eletrica_hibrida": gold_eletrica_hibrida,

@@ -6,8 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from autostrata.operators import dense_key, keys, range_key, window_key
-from autostrata.staging import materialize
+from autostrata.operators import dense_key, keys, range_key
+from autostrata.staging import materialize, stored_bytes
 
 
 def _global_numbers(df, name, order):
@@ -40,6 +40,7 @@ def test_copies_of_one_row_are_spread_over_ranges(spark, monkeypatch):
     df = spark.range(0, 40_000, 1, 8).select(
         F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("a")
     )
+    monkeypatch.setattr(keys, "RANGE_BYTES", 30_000)
     # Small test ranges would be merged into one again.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -51,20 +52,28 @@ def test_copies_of_one_row_are_spread_over_ranges(spark, monkeypatch):
     assert max(r["count"] for r in sizes) < 15_000
 
 
-def test_dense_key_takes_the_range_path_beyond_its_bound(spark, monkeypatch):
-    df = spark.range(500).select((F.col("id") * 7919 % 500).alias("a"))
-    small = dense_key(df, "n", ["a"])
-    monkeypatch.setattr(keys, "ONE_TASK_ROWS", 100)
-    large = dense_key(df, "n", ["a"])
-    assert dict(small.dtypes) == dict(large.dtypes) == {"a": "bigint", "n": "int"}
-    assert _rows(small) == _rows(large)
-    assert "SinglePartition" in small._jdf.queryExecution().executedPlan().toString()
+def test_dense_key_breaks_ties_by_the_other_columns(spark):
+    df = spark.createDataFrame([(1, 4), (1, 2), (1, 3), (1, 5), (None, 9)], "a int, b int")
+    numbered = dense_key(df, "n", ["a"])
+    assert dict(numbered.dtypes)["n"] == "int"
+    assert {r.b: r.n for r in numbered.collect()} == {9: 1, 2: 2, 3: 3, 4: 4, 5: 5}
 
 
-def test_window_key_sorts_nulls_first(spark):
-    df = spark.createDataFrame([("b",), (None,), ("a",)], "a string")
-    numbered = {r.a: r.n for r in window_key(df, "n", ["a"]).collect()}
-    assert numbered == {None: 1, "a": 2, "b": 3}
+def test_number_of_ranges_follows_the_stored_size(spark, monkeypatch):
+    df = spark.range(5_000).select(F.hash("id").alias("a"))
+    written = []
+    monkeypatch.setattr(
+        keys, "materialize", lambda df, label: written.append(materialize(df, label)) or written[-1]
+    )
+    monkeypatch.setattr(keys, "RANGE_BYTES", 10_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        range_key(df, "n", ["a"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    wanted = -(-stored_bytes(written[0]) // 10_000)
+    assert wanted > 1
+    assert written[-1].select(F.shiftright("_place", 33)).distinct().count() == wanted
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -53,3 +53,9 @@ def test_many_names_with_a_common_prefix_do_not_all_meet(spark):
     rows = got.collect()
     assert len(rows) == len(names)
     assert all(r.nm_candidato == r.nm + "S" and r.nr_distancia == 1 for r in rows)
+
+
+def test_large_distances_are_refused(spark):
+    names = spark.createDataFrame([("X", "ABC", "1")], "uf string, nm string, cd string")
+    with pytest.raises(ValueError, match="max_distance"):
+        closest_names(names, names, "uf", "nm", "cd", max_distance=4)

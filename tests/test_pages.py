@@ -1,5 +1,7 @@
 """Links of crawled pages."""
 
+import time
+
 from autostrata.sources import container_links, linked_files
 
 PAGE = """<html><body>
@@ -59,3 +61,29 @@ def test_links_need_no_shuffle(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id int, html string")
     plan = linked_files(container_links(pages))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def _inside(spark, inner):
+    return _links(spark, f"<nav>{inner}</nav><a href='/out'>", tag="nav", element_id=None, keyword=None)
+
+
+def test_elements_closed_by_themselves_do_not_count(spark):
+    assert _inside(spark, "<nav/><a href='/1'>x</a>") == ["/1"]
+
+
+def test_quoted_values_hide_their_letters(spark):
+    assert _inside(spark, '<a title="a>b" href="/1">x</a>') == ["/1"]
+    assert _inside(spark, """<a title="see href='x'" href="/y">z</a>""") == ["/y"]
+    assert _inside(spark, "<a href\n=\n'/2'>x</a><a/href=/3>x</a>") == ["/2", "/3"]
+
+
+def test_character_references(spark):
+    html = "<a href='/&#225;&#x2F;&eacute;&amp;amp;&nope;&#xD800;&#99999999;&'>x</a>"
+    assert _inside(spark, html) == ["/á/é&amp;&nope;&#xD800;&#99999999;&"]
+
+
+def test_many_links_take_linear_time(spark):
+    html = "".join(f"<a href='/{i}'>x</a>" for i in range(32_000))
+    start = time.perf_counter()
+    assert len(_inside(spark, html)) == 32_000
+    assert time.perf_counter() - start < 10

@@ -149,7 +149,7 @@ def test_match_and_closest_name(spark, fleet, rfb):
         "SAO PAULLO": ("SP", None, False),
     }
     assert _rows(quality.unmatched(matches)) == [("SAO PAULO", "SAO PAULLO", "SAO PAULLO", "SP")]
-    assert tuple(quality.match_audit(matches).first()) == (3, 1, 33.33)
+    assert tuple(quality.match_audit(matches).first()) == (3, 1, 33.33, 0)
     assert _rows(quality.closest_registered(matches, rfb)) == [
         ("SP", "SAO PAULLO", "SAO PAULO", "3550308", 1)
     ]
@@ -191,3 +191,54 @@ def test_duplicate_lookup_key_fails_the_query(spark):
     twice = df.union(spark.createDataFrame([("a", 5)], "k string, v int"))
     with pytest.raises(Exception, match="is not unique.*a"):
         unique_lookup(twice, ["k"], ["v"]).collect()
+    with pytest.raises(Exception, match="is not unique.*a"):  # whichever columns are asked for
+        df.join(unique_lookup(twice, ["k"], ["v"]), "k", "left").select(df["v"]).collect()
+
+
+def test_lookups_do_not_multiply_rows(spark, fleet, rfb):
+    states = seeds.states(spark)
+    doubled = states.union(states)
+    with pytest.raises(Exception, match="is not unique"):
+        silver.with_state(rfb, doubled).collect()
+    with pytest.raises(Exception, match="is not unique"):
+        silver.fleet_municipalities(fleet, doubled).collect()
+
+
+def test_ambiguous_names_are_reported_not_matched(spark):
+    states = seeds.states(spark)
+    rfb = spark.createDataFrame(
+        [(1, "1", "SANT'ANA", "Sant'Ana", "AC"), (2, "2", "SANTANA", "Santana", "AC"),
+         (3, "3", "SANTANA", "Santana", "SP")],
+        "id_municipio int, cd_municipio string, nm_municipio_upper string, "
+        "nm_municipio_formatted string, sigla_uf string",
+    )
+    fleet = spark.createDataFrame(
+        [("ACRE", "SANTANA", "DIESEL", 1, "f"), ("SAO PAULO", "SANTANA", "DIESEL", 1, "f")],
+        "nm_uf string, nm_municipio string, nm_combustivel string, qtd_veiculos int, nm_file string",
+    )
+    matches = silver.match_registered(silver.fleet_municipalities(fleet, states), rfb)
+    found = {r.sigla_uf: (r.cd_ibge_municipio, r.qt_candidatos) for r in matches.collect()}
+    assert found == {"AC": (None, 2), "SP": ("3", 1)}
+    assert tuple(quality.match_audit(matches).first()) == (2, 0, 0.0, 1)
+    assert sorted(r.cd_ibge_municipio for r in quality.ambiguous(rfb).collect()) == ["1", "2"]
+    with pytest.raises(Exception, match="is not unique"):
+        silver.municipality_lookup(fleet, states, silver.dim_municipio(rfb, states)).collect()
+
+
+def test_unmatched_names_without_a_state_are_listed(spark, rfb):
+    matches = spark.createDataFrame(
+        [("ATLANTIS", "POSEIDONIA", "POSEIDONIA", None, None, None, 0, False)],
+        "nm_uf string, nm_municipio string, nm_municipio_norm string, sigla_uf string, "
+        "cd_ibge_municipio string, nm_municipio_formatted string, qt_candidatos bigint, "
+        "fl_encontrado boolean",
+    )
+    rows = quality.closest_registered(matches, rfb).collect()
+    assert [(r.sigla_uf, r.nm_chave, r.nm_candidato) for r in rows] == [(None, "POSEIDONIA", None)]
+
+
+def test_month_in_two_files_shows_in_the_grain(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, 202404, 5), (1, 1, 202404, 6), (1, 2, 202404, 7), (None, 1, 202404, 1)],
+        "id_municipio int, id_combustivel int, id_data int, qt_veiculos int",
+    )
+    assert _rows(quality.duplicated_grain(fact)) == [(1, 1, 202404, 2, 11)]

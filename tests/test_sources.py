@@ -14,6 +14,7 @@ from autostrata.sources import (
     select_years,
     use_layer,
     write_yearly,
+    yearly_layouts,
 )
 
 FLEET_CSV = """nm_uf,nm_municipio,nm_combustivel,qtd_veiculos,file_name
@@ -167,3 +168,50 @@ def test_save_table_can_read_the_table_it_replaces(spark, layer):
     save_table(spark.range(4), f"{layer}.t")
     save_table(spark.table("t").withColumn("double", F.col("id") * 2), f"{layer}.t")
     assert _rows(spark.table("t")) == [(i, 2 * i) for i in range(4)]
+
+
+def test_full_load_from_its_own_table(spark, layer):
+    table = f"{layer}.carga"
+    full_load(spark.range(3), table)
+    again = full_load(spark.table(table).union(spark.range(5, 6)), table)
+    assert sorted(r.id for r in again.collect()) == [0, 1, 2, 5]
+
+
+def test_failed_load_leaves_the_table(spark, layer):
+    table = f"{layer}.carga"
+    full_load(spark.range(3), table)
+    with pytest.raises(Exception, match="boom"):
+        full_load(spark.range(1).select(F.raise_error(F.lit("boom")).alias("id")), table)
+    assert spark.table(table).count() == 3
+
+
+def _month_files(root):
+    for year, name, text in (
+        ("2024", "a+b_Abril_2024.csv", "x,y\n1,2\n"),
+        ("2024", "cç_Maio_2024.csv", "y,z\n3,4\n"),
+        ("2024", "notes.txt", "q\n9\n"),
+        ("2024_old", "d.csv", "x,y\n7,7\n"),
+        ("2025", "e.csv", "x,y\n5,6\n"),
+    ):
+        (root / year).mkdir(parents=True, exist_ok=True)
+        (root / year / name).write_text(text)
+    (root / "2026").mkdir()
+
+
+def test_consolidation_by_header_year_and_suffix(spark, tmp_path):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    _month_files(root)
+    layouts = yearly_layouts(spark, str(root), [2024, 2026, 2099])
+    assert [len(group) for group in layouts] == [1, 1]
+    rows = consolidate(spark, layouts, year="nr_ano").collect()
+    assert {(r.nm_file, r.x, r.y, r.z, r.nr_ano) for r in rows} == {
+        ("a+b_Abril_2024.csv", "1", "2", None, 2024),
+        ("cç_Maio_2024.csv", None, "3", "4", 2024),
+    }
+    jobs.consolidate_years(spark, str(root), out, [2024])
+    jobs.consolidate_years(spark, str(root), out, [2025])
+    jobs.consolidate_years(spark, str(root), out, [2099])
+    years = spark.read.option("header", "true").csv(out)
+    assert {r.nr_ano for r in years.collect()} == {2024, 2025} and years.count() == 3
+    jobs.consolidate_years(spark, str(root), str(tmp_path / "all"))
+    assert spark.read.option("header", "true").csv(str(tmp_path / "all")).count() == 3
