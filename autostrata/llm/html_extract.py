@@ -102,6 +102,7 @@ class Block:
         share = "none" if links < 0 else "low" if links < 0.3 else "mid" if links < 0.7 else "high"
         return [
             f"tag {self.tag}",
+            f"tag {self.tag} links {share}",
             f"links {share}",
             f"size {min(self.chars.bit_length(), 12)}",
             *(f"name {n}" for n in self.names if self.tag not in FRAMES),
@@ -238,25 +239,26 @@ class TreeModel:
         """The probability of each block being content, by sum-product over the tree.
 
         Messages are log-odds. A block that its tag or name sets aside is no content under either
-        kind of parent, so it tells its parent nothing.
+        kind of parent, so it tells its parent nothing; what is in it goes with it.
         """
         known, (p0, p1) = self.evidence, self.ties
         q0, q1 = 1 - p0, 1 - p1
         n = len(blocks)
-        belief = [0.0] * n
-        for i, b in enumerate(blocks):
-            belief[i] = -_LIMIT if b.aside else sum(known.get(e, 0.0) for e in b.evidence())
-        belief[0] = _PAGE
+        belief = [_PAGE] + [0.0] * (n - 1)
+        aside = [False] * n
+        for i in range(1, n):
+            b = blocks[i]
+            aside[i] = b.aside or aside[b.parent]
+            belief[i] = -_LIMIT if aside[i] else sum(known.get(e, 0.0) for e in b.evidence())
         up = [0.0] * n
         for i in range(n - 1, 0, -1):  # children come after their parents
-            if blocks[i].aside:
-                belief[i] = -_LIMIT
+            if aside[i]:
                 continue
             odds = exp(_bounded(belief[i]))
             up[i] = log((p1 * odds + q1) / (p0 * odds + q0))
             belief[blocks[i].parent] += up[i]
         for i in range(1, n):
-            if blocks[i].aside:
+            if aside[i]:
                 continue
             without = belief[blocks[i].parent] - up[i]
             odds = exp(_bounded(without))
@@ -283,7 +285,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b, x in zip(blocks[1:], truth[1:]):
                 found[f"tie {truth[b.parent]}", x] += 1
                 found["all", x] += 1
-                for e in b.evidence():
+                # A tag counts together with its links: a list in a menu says little of others.
+                for e in b.evidence()[1:]:
                     found[e, x] += 1
         keys = list(found)
         yield pa.RecordBatch.from_arrays(

@@ -207,10 +207,7 @@ def write_archives(
     folder. Any file system that pyarrow knows will do.
     """
     spark = pages.sparkSession
-    folder = folder or staging_path(spark, "archives")
-    if "://" not in folder:
-        folder = "file://" + folder.removeprefix("file:")
-    _make(folder)
+    folder = made(folder or staging_path(spark, "archives"))
     dictionary = build_dictionary(pages, html)
     keyed, key = with_row_key(pages.select(id, url, html), id)
     body = F.coalesce(F.col(html), F.lit(""))
@@ -245,9 +242,13 @@ def write_archives(
     return materialize(written, "manifest")
 
 
-def _make(folder: str) -> None:
+def made(folder: str) -> str:
+    """Make the folder; its URI as pyarrow reads it."""
+    if "://" not in folder:
+        folder = "file://" + folder.removeprefix("file:")
     fs, root = pyarrow.fs.FileSystem.from_uri(folder)
     fs.create_dir(root, recursive=True)
+    return folder
 
 
 def _name(key: str) -> Column:

@@ -1,0 +1,102 @@
+"""Near duplicates against all pairs of shingle sets."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from autostrata.llm import minhash, shingles
+from autostrata.llm.components import connected_components
+from autostrata.llm.minhash import Signer, bands_for, estimated_similarity, keep_one, near_duplicates
+
+
+def _shingles(text, size=5):
+    text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def _expected(rows, percent):
+    sets = [_shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {rows[i][0]: (len(sets[i]), rows[find(i)][0]) for i in range(len(rows))}
+
+
+def _family(seed):
+    random.seed(seed)
+    words = [f"w{i}" for i in range(2000)]
+    base = [random.choice(words) for _ in range(150)]
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for _ in range(random.randint(0, 8)):
+            text[random.randrange(150)] = random.choice(words)
+        rows.append((i, " ".join(text[: random.choice((150, 150, 120))])))
+    rows += [(150, None), (151, ""), (152, " \n\t"), (153, "One two"), (154, "one  TWO"), (155, "É two")]
+    return rows
+
+
+@pytest.mark.parametrize("percent,rounds", [(80, 1), (85, 3)])
+def test_components_equal_all_pairs(spark, monkeypatch, percent, rounds):
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", rounds)
+    rows = _family(percent)
+    docs = spark.createDataFrame([(i, t, "z", 0) for i, t in rows], "doc_id long, text string, node string, key int")
+    got = near_duplicates(docs, similarity=percent / 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _expected(rows, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame(
+        [(5, text), (5, text), (None, text), (7, text + " tail"), (8, None), (8, None)],
+        "doc_id long, text string",
+    )
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()}
+    assert got == {(5, 5, True), (None, 5, False), (7, 5, False), (8, 8, True)}
+    left = keep_one(docs)
+    assert left.columns == docs.columns
+    # Of the linked rows one stays; rows without words are linked with nothing.
+    assert sorted(r.doc_id or -1 for r in left.collect()) in ([-1, 8, 8], [5, 8, 8])
+    assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_long_texts_are_hashed_piece_by_piece(monkeypatch):
+    text = (" ".join(random.choice("abcdé") * random.randint(1, 9) for _ in range(4000))).encode()
+    expected = shingles.shingle_set(text)
+    assert len(expected) == len(_shingles(text.decode()))
+    monkeypatch.setattr(shingles, "_PIECE", 100)
+    assert np.array_equal(shingles.shingle_set(text), expected)
+
+
+def test_bit_counts_estimate_similarity():
+    random = np.random.default_rng(1)
+    a = random.integers(0, 2**63, 1000, dtype=np.uint64)
+    b = np.concatenate((a[:900], random.integers(0, 2**63, 100, dtype=np.uint64)))
+    signer = Signer(bands_for(0.8))
+    minima = signer.minima([a, b])
+    planes = signer.planes(minima).view(np.uint64).reshape(2, signer.kept_bits, -1)
+    differing = np.bitwise_count(np.bitwise_or.reduce(planes[0] ^ planes[1], axis=0)).sum()
+    agreements = len(signer.flips) - int(differing)
+    assert agreements == (minima[:, 0] % 4 == minima[:, 1] % 4).sum()
+    assert abs(estimated_similarity(agreements, len(signer.flips), 2) - 900 / 1100) < 0.12
+    assert (1 - 0.8**6) ** bands_for(0.8) <= 1e-6
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(50, 51)], "a int, b int")
+    roots = {r.node: r.root for r in connected_components(edges).collect()}
+    assert roots == {**{i: 1 for i in range(1, 41)}, 50: 50, 51: 50}

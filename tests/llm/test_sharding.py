@@ -1,0 +1,64 @@
+"""Shards: counts, slots, and equal texts together."""
+
+import random
+from collections import Counter, defaultdict
+
+from autostrata.llm.sharding import propagate, shard_documents
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(i, t, 9, "x") for i, t in rows], "doc_id long, text string, shard int, digest string")
+
+
+def _check(rows, count, shards):
+    sizes = Counter(r.shard for r in rows)
+    assert len(rows) == count
+    assert max(sizes.values()) - min(sizes.get(s, 0) for s in range(shards)) <= 1
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_groups_stay_together_and_counts_are_even(spark):
+    random.seed(2)
+    rows = [(i, f"text {i if i >= 120 else i % 40}") for i in range(400)]
+    rows += [(400, None), (401, ""), (402, "é"), (402, "é")]
+    got = shard_documents(_frame(spark, rows), shards=6).collect()
+    _check(got, 404, 6)
+    where = defaultdict(set)
+    for r in got:
+        where[r.text_crc32, r.size].add(r.shard)
+    assert all(len(s) == 1 for s in where.values())
+    assert {r.size for r in got if r.doc_id in (400, 401)} == {8}
+    assert {r.size for r in got if r.doc_id == 402} == {10}
+
+
+def test_a_group_beyond_capacity_fills_shards(spark):
+    rows = [(i, "same" if i < 50 else f"t{i}") for i in range(100)]
+    got = shard_documents(_frame(spark, rows), shards=4).collect()
+    _check(got, 100, 4)
+    shares = Counter(r.shard for r in got if r.doc_id < 50)
+    assert max(shares.values()) > 50 / 4
+
+
+def test_more_shards_than_rows_and_empty_table(spark):
+    docs = _frame(spark, [(1, "a"), (2, "a")])
+    _check(shard_documents(docs, shards=5).collect(), 2, 5)
+    assert shard_documents(docs.limit(0), shards=5).count() == 0
+
+
+def test_propagation_keeps_to_capacity_and_cuts_fewer_edges(spark):
+    nodes = spark.range(200).withColumnRenamed("id", "node")
+    pairs = [(i, i // 10 * 10) for i in range(200) if i % 10]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+
+    def cut(rounds):
+        placed = {r.node: r.shard for r in propagate(nodes, edges, 4, 60, rounds).collect()}
+        assert len(placed) == 200
+        sizes = Counter(placed.values())
+        return sum(placed[a] != placed[b] for a, b in pairs), max(sizes.values())
+
+    before, largest = cut(0)
+    after, largest_after = cut(6)
+    assert after < before / 3 and largest_after <= max(60, largest)
