@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from autostrata.staging import materialize, materialize_counted
+from autostrata.staging import materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,8 +37,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         jumped = nearer.join(above, F.col("root") == F.col("_up"), "left").select(
             "node", "old", F.least("root", "_top").alias("root")
         )
-        labels = materialize(jumped, "roots")
-        _, changed = materialize_counted(labels.where("root <> old").select("node"), "changed")
-        labels = labels.select("node", "root")
-        if not changed:
+        seen = Observation()
+        changed = F.count_if(F.col("root") != F.col("old")).alias("changed")
+        labels = materialize(jumped.observe(seen, changed), "roots").select("node", "root")
+        if not seen.get["changed"]:
             return labels

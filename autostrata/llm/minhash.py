@@ -8,7 +8,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from autostrata.llm.common import (
@@ -31,6 +31,10 @@ STAR_ROUNDS = 3
 FILTER_BITS = 26
 
 _CHUNK = 1 << 16
+# Places of the parity bits.
+_PARITIES = 512
+# Ratio of the steps that sizes are cut into.
+_STEP = 1.02
 
 
 def bands_for(similarity: float, rows: int = ROWS_PER_BAND, miss: float = MISS) -> int:
@@ -74,6 +78,16 @@ class Signer:
         return np.packbits(out, axis=2).reshape(count, -1).view(np.int64)
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set (row), in 64-bit words, whether an odd number of shingles falls on each of
+    ``_PARITIES`` places: two sets differ in no fewer shingles than in such bits."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = (np.concatenate(sets) & np.uint64(_PARITIES - 1)).astype(np.int64)
+    counts = np.bincount(owner * _PARITIES + place, minlength=len(sets) * _PARITIES)
+    bits = (counts & 1).astype(np.uint8).reshape(len(sets), _PARITIES)
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch], signer: Signer, words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
@@ -96,7 +110,8 @@ def _signed(ids: pa.Array, sets: list[np.ndarray], signer: Signer) -> pa.RecordB
     if len(full):
         some = [sets[i] for i in full]
         minima = signer.minima(some)
-        keys, planes = signer.band_keys(minima).view(np.int64), signer.planes(minima)
+        keys = signer.band_keys(minima).view(np.int64)
+        planes = np.hstack((signer.planes(minima), parities(some)))
         for i, s in zip(full, some):
             nodes[i] = _node(s)
     present = np.zeros(len(sets), np.int64)
@@ -157,7 +172,8 @@ def near_duplicates(
     Only connections count, so a bucket's pairs are not written out: in each of a few rounds every
     node of a bucket meets one hub of that bucket, unless both are in one component already; the
     hub changes from round to round. Pairs of a bucket that lie in different components after
-    that and have not met do meet in a last round, however many they are, so no link is lost.
+    that and have not met do meet in a last round, all but those whose sizes, unshared shingles
+    and parity bits rule a link out (``_Links.possible``), so no link is lost.
 
     NULL texts are empty; a document without words has size 0, is linked with nothing and is its
     own component. Rows with equal texts are linked whatever their ids. NULL ids are
@@ -194,7 +210,10 @@ def near_duplicates(
     # A document without words is alone; its own id spreads those over the tasks of the join.
     lone = F.when(F.col("n_shingles") == 0, F.unhex(F.hex(F.xxhash64("id"))))
     placed = placed.withColumn("_root", F.coalesce("_root", lone))
+    placed = materialize(placed, "placed")
     smallest = placed.where("n_shingles > 0").groupBy("_root").agg(F.min("id").alias("_least"))
+    # Written, so that the join below shuffles its two sides by itself and can split a hot one.
+    smallest = materialize(smallest, "smallest")
     component = F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("id"))
     return placed.join(smallest, "_root", "left").select(
         F.col("id").alias(id),
@@ -234,6 +253,74 @@ class _Links:
         self.least = Fraction(similarity).limit_denominator(10_000)
         self.floor = estimate_floor(similarity, len(signer.flips), signer.kept_bits)
 
+    def possible(self, rest: DataFrame) -> DataFrame:
+        """Pairs (``node``, ``other``) of one bucket, in different components, that their sizes
+        allow, from the members of undecided buckets (``key``, ``node``, ``root``).
+
+        A shingle that no other of these nodes has cannot be shared. With c others among its n, a
+        node is linked only with nodes of c (1 + 1/t) - n shingles at most (t the similarity) and
+        t n at least; and parity bits tell in how many shingles two sets differ at least. Sizes are cut into steps, and the larger node of a pair looks into the steps
+        that its own numbers allow, so pairs that the numbers rule out are never formed.
+        """
+        top, bottom = self.least.numerator, self.least.denominator
+        wanted = rest.select("node").distinct()
+        shingles = self.sets.join(wanted, "node", "left_semi").select(
+            "node", F.explode("shingles").alias("shingle")
+        )
+        own = (
+            shingles.groupBy("shingle")
+            .agg(F.count("*").alias("n"), F.min("node").alias("node"))
+            .where("n = 1")
+            .groupBy("node")
+            .agg(F.count("*").alias("own"))
+        )
+        n = F.col("n_shingles")
+        common = n - F.coalesce("own", F.lit(0))
+        sizes = (
+            self.nodes.join(wanted, "node", "left_semi")
+            .join(own, "node", "left")
+            .select(
+                "node",
+                n.alias("n"),
+                F.ceil(n * top / bottom - 1e-6).alias("least"),
+                (F.floor(common * (top + bottom) / top + 1e-6) - n).alias("most"),
+                "planes",
+            )
+            .where("least <= most")
+        )
+        sizes = materialize(sizes, "sizes")
+        keys = rest.groupBy("node").agg(F.collect_set("key").alias("keys"))
+        sized = rest.join(sizes.join(keys, "node"), "node")
+
+        def step(size: Column) -> Column:
+            return F.floor(F.log(size.cast("double")) / math.log(_STEP))
+
+        reach = F.sequence(step(F.col("least")), step(F.least("n", "most")))
+        large = sized.withColumn("step", F.explode(reach))
+        small = sized.select(
+            "key",
+            step(F.col("n")).alias("step"),
+            *(F.col(c).alias(f"other{_}") for c, _ in
+              (("node", ""), ("root", "_root"), ("n", "_n"), ("most", "_most"), ("keys", "_keys"),
+               ("planes", "_planes"))),
+        )
+        return large.join(small, ["key", "step"]).where(
+            "root <> other_root and other_n <= n and other_n between least and most "
+            "and n <= other_most and (other_n < n or other < node) "
+            # A pair meets in one of the buckets that it shares.
+            "and key = array_min(array_intersect(keys, other_keys))"
+        ).where(self._may_share(F.col("n") + F.col("other_n"), "planes", "other_planes"))
+
+    def _may_share(self, total: Column, a: str, b: str) -> Column:
+        """Whether sets of ``total`` shingles together may be linked by their parity bits: they
+        share at most half of what is left of the total without the bits that differ."""
+        top, bottom = self.least.numerator, self.least.denominator
+        first = -(-len(self.signer.flips) // 64) * self.signer.kept_bits
+        differing = F.lit(0)
+        for w in range(first, first + _PARITIES // 64):
+            differing = differing + F.bit_count(F.col(a)[w].bitwiseXOR(F.col(b)[w]))
+        return (total - differing) * (top + bottom) >= total * (2 * top)
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (``a``, ``b``) whose similarity is high enough."""
         top, bottom = self.least.numerator, self.least.denominator
@@ -243,6 +330,7 @@ class _Links:
         small = F.least("n_shingles_a", "n_shingles_b")
         large = F.greatest("n_shingles_a", "n_shingles_b")
         likely = pairs.where(small * bottom >= large * top)
+        likely = likely.where(self._may_share(small + large, "planes_a", "planes_b"))
         likely = likely.where(_agreements("planes_a", "planes_b", self.signer) >= self.floor)
         likely = likely.select("a", "b", (small + large).alias("total"))
         for side in "ab":
@@ -315,10 +403,7 @@ def _components(members: DataFrame, links: _Links) -> DataFrame:
             meeting = current.join(hubs, "key").where("root <> other_root")
         else:
             rest = materialize(current.join(hubs, "key", "left_semi"), "rest")
-            others = rest.select(
-                "key", F.col("node").alias("other"), F.col("root").alias("other_root")
-            )
-            meeting = rest.join(others, "key").where("root < other_root")
+            meeting = links.possible(rest)
         pairs = (
             meeting.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             .distinct()
