@@ -82,6 +82,8 @@ def exact_groups(
         .agg(F.max("_id").alias("_keep"), F.count("*").alias("_n"))
         .where("_n > 1")
     )
+    # Written, so that the join below shuffles its two sides by itself and can split a hot one.
+    groups = materialize(groups, "groups")
     keep = F.when(F.col("_n").isNotNull(), F.col("_keep")).otherwise(F.col("_id"))
     return refined.join(groups, "_key", "left").select(
         F.col("_id").alias(id),
