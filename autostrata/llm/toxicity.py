@@ -8,8 +8,11 @@ labels, so it also tells which sentences offend.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from math import exp
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from autostrata.llm.common import whole
+from autostrata.staging import materialize
 
 # Bounds of the training sample and of the vocabulary.
 TRAINING_DOCUMENTS = 20_000
@@ -53,31 +57,46 @@ class Model:
 
     def sentences(self, text: str) -> Iterator[tuple[int, int, float]]:
         """``start``, ``end`` and score of each sentence that has a known feature."""
+        telling = self._telling(text)
+        if not telling:
+            return
         for sentence in _SENTENCE.finditer(text):
-            known = self._known(sentence.group())
+            known = _found(sentence.group(), telling)
             if known:
                 z = self.bias + sum(self.weights[f] for f in known)
-                yield sentence.start(), sentence.end(), 1 / (1 + float(np.exp(-z)))
+                yield sentence.start(), sentence.end(), 1 / (1 + exp(-z))
 
-    def _known(self, sentence: str) -> set[str]:
-        words = set(_WORD.findall(sentence.lower()))
-        known = words & self.weights.keys()
+    def _telling(self, text: str) -> dict[str, list[str]]:
+        """The text's words that have known features, with those. Most texts have none."""
+        known, words = self.weights.keys(), set(_WORD.findall(text.lower()))
+        hits = words & known
         for n in STEMS:
-            known.update({f"{w[:n]}*" for w in words if len(w) >= n} & self.weights.keys())
-        return known
+            starts = {w[:n] for w in words if len(w) >= n} & self.stems.keys()
+            if starts:
+                hits.update(w for w in words if w[:n] in starts)
+        return {w: [f for f in features(w) if f in known] for w in hits}
+
+    @cached_property
+    def stems(self) -> dict[str, str]:
+        return {f[:-1]: f for f in self.weights if f.endswith("*")}
 
     def score(self, text: str) -> float:
-        """Noisy-or over the sentences. Words unknown to the model are skipped early."""
+        """Noisy-or over the sentences and the constant."""
         clean = 1 - self.leak
         for _, _, p in self.sentences(text):
             clean *= 1 - p
         return 1 - clean
 
 
+def _found(sentence: str, telling: dict[str, list[str]]) -> set[str]:
+    words = set(_WORD.findall(sentence.lower())) & telling.keys()
+    return {f for w in words for f in telling[w]}
+
+
 def training_sample(labels: DataFrame, id: str, label: str, bound: int) -> DataFrame:
-    """``id`` and ``label`` of at most ``bound`` rows, chosen by a hash of the id."""
+    """``id`` and ``label`` (0 or 1) of at most ``bound`` rows, chosen by a hash of the id."""
     return (
-        labels.where(F.col(label).isNotNull() & F.col(id).isNotNull())
+        labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull())
         .select(F.col(id).alias("id"), F.col(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("id"), "id", "label")
         .limit(bound)
@@ -107,8 +126,10 @@ def fit(
     sample = training_sample(labels, id, label, bound)
     texts = docs.select(F.col(id).alias("id"), whole(text).alias("text"))
     # At most ``bound`` short rows.
-    labelled = texts.join(F.broadcast(sample), "id").select("label", "text")
-    counts = labelled.mapInArrow(_document_features, "label int, feature string")
+    labelled = materialize(texts.join(F.broadcast(sample), "id").select("label", "text"), "sample")
+    counts = labelled.mapInArrow(
+        _document_features, "feature string, in_toxic bigint, in_clean bigint"
+    )
     totals = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     prior = toxic / (toxic + clean) if toxic + clean else 0.0
@@ -116,7 +137,7 @@ def fit(
         return Model({}, 0.0, prior)
     ranked = (
         counts.groupBy("feature")
-        .agg(F.sum("label").alias("in_toxic"), F.sum(1 - F.col("label")).alias("in_clean"))
+        .agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_clean").alias("in_clean"))
         .withColumn("evidence", _chi_square("in_toxic", "in_clean", toxic, clean))
         .where(
             (F.col("evidence") >= EVIDENCE)
@@ -144,14 +165,22 @@ def _chi_square(a: str, b: str, toxic: int, clean: int) -> Column:
 
 
 def _document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean documents of a batch each feature occurs."""
     for batch in batches:
+        counts = Counter(), Counter()
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = set(_WORD.findall(text.as_py().lower()))
-            found = list({f for w in words for f in features(w)})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([label] * len(found), pa.int32()), pa.array(found, pa.string())],
-                ["label", "feature"],
-            )
+            counts[label].update({f for w in words for f in features(w)})
+        clean, toxic = counts
+        found = list(clean.keys() | toxic.keys())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(found, pa.string()),
+                pa.array([toxic[f] for f in found], pa.int64()),
+                pa.array([clean[f] for f in found], pa.int64()),
+            ],
+            ["feature", "in_toxic", "in_clean"],
+        )
 
 
 def _sentence_bags(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +189,8 @@ def _sentence_bags(batches: Iterator[pa.RecordBatch], names: list[str]) -> Itera
     for batch in batches:
         bags = []
         for text in batch.column(1):
-            found = (probe._known(s.group()) for s in _SENTENCE.finditer(text.as_py()))
+            telling = probe._telling(text.as_py())
+            found = (_found(s.group(), telling) for s in _SENTENCE.finditer(text.as_py()))
             bags.append([sorted(place[f] for f in known) for known in found if known])
         kind = pa.list_(pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays(
