@@ -27,7 +27,8 @@ FILTER_BITS = 27
 # Contexts of one anchor that one task sorts; those of a more frequent anchor are dealt by string.
 SORTED_TOGETHER = 20_000
 
-_CHUNK = 1 << 19
+_CHUNK = 1 << 18
+_SLICE = 1 << 17
 _PIECE = 1 << 22
 
 
@@ -162,7 +163,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
-        if size < 4 << 20:
+        if size < 2 << 20:
             continue
         table = pa.Table.from_batches(held)
         keys = table.column("key").to_numpy()
@@ -200,20 +201,18 @@ def _sorted(table: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     segment = key[owner] * 4096 - place  # strings with their anchor at the same place
     by_segment = np.argsort(segment, kind="stable")
     owner, step, start, segment = (x[by_segment] for x in (owner, step, start, segment))
-    ranked = sort_suffixes(text, start, segment, width)
-    a, b = ranked[:-1], ranked[1:]
-    same = np.flatnonzero(segment[a] == segment[b])
-    same = same[text.hashes(start[a[same]], width) == text.hashes(start[b[same]], width)]
-    same = same[text.equal_letters(start[a[same]], start[b[same]], width)]
-    joined = np.zeros(len(ranked), bool)
-    joined[same + 1] = True
-    run = np.cumsum(~joined) - 1
-    age = earlier[owner[ranked]]
-    first = np.full(run[-1] + 1, len(low), np.int64)
-    np.minimum.at(first, run, age)
-    again = ranked[age != first[run]]
-    at = np.lexsort((step[again], owner[again]))
-    owner, start = owner[again][at], (low[owner] + step)[again][at]
+    edges = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1], [True])))
+    again = []
+    at = 0
+    while at < len(edges) - 1:  # whole segments, few enough to hold
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + _SLICE, "right")) - 1)
+        part = slice(edges[at], edges[to])
+        repeated = _later_ones(text, start[part], segment[part], earlier[owner[part]], width)
+        again.append(edges[at] + repeated)
+        at = to
+    again = np.concatenate(again)
+    again = again[np.lexsort((step[again], owner[again]))]
+    owner, start = owner[again], low[owner[again]] + step[again]
     if not len(owner):
         return
     cut = np.flatnonzero(
@@ -232,6 +231,23 @@ def _sorted(table: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _later_ones(
+    text: HashedText, start: np.ndarray, segment: np.ndarray, age: np.ndarray, width: int
+) -> np.ndarray:
+    """Which strings equal one of their segment that has a smaller ``age``."""
+    ranked = sort_suffixes(text, start, segment, width)
+    a, b = ranked[:-1], ranked[1:]
+    same = np.flatnonzero(segment[a] == segment[b])
+    same = same[text.hashes(start[a[same]], width) == text.hashes(start[b[same]], width)]
+    same = same[text.equal_letters(start[a[same]], start[b[same]], width)]
+    joined = np.zeros(len(ranked), bool)
+    joined[same + 1] = True
+    run = np.cumsum(~joined) - 1
+    first = np.full(run[-1] + 1, np.iinfo(np.int64).max)
+    np.minimum.at(first, run, age[ranked])
+    return ranked[age[ranked] != first[run]]
+
+
 def _strings(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """A row for each string of the contexts, with a 128-bit digest of it."""
     for batch in batches:

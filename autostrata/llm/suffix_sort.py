@@ -58,8 +58,8 @@ class HashedText:
         """Whether the letters themselves are equal, which hashes only make likely."""
         rows = np.lib.stride_tricks.sliding_window_view(self.letters, depth)
         out = np.empty(len(a), bool)
-        for i in range(0, len(a), 1 << 15):
-            part = slice(i, i + (1 << 15))
+        for i in range(0, len(a), 1 << 13):
+            part = slice(i, i + (1 << 13))
             out[part] = (rows[a[part]] == rows[b[part]]).all(axis=1)
         return out
 
