@@ -40,8 +40,10 @@ UNSEEN = frozenset(
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 LABELLED = frozenset(["article", "main"])
 
-# Tags and names that set a block aside, and names that speak for content, before any page is seen.
-ASIDE_TAGS = frozenset("nav header footer aside form menu dialog fieldset search".split())
+# Tags that bar a block unless it holds the declared main part.
+BARRED_TAGS = frozenset("nav footer aside form".split())
+# Tags and names that speak against a block, and names that speak for it, before any page is seen.
+ASIDE_TAGS = frozenset("menu dialog fieldset search".split())
 ASIDE_NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies disclaimer footer form header login menu modal nav navbar navigation newsletter "
@@ -49,7 +51,11 @@ ASIDE_NAMES = frozenset(
     "sidebar signup social sponsor sponsored subscribe tags toolbar widget".split()
 )
 MAIN_NAMES = frozenset("article content entry main post story".split())
+# Parts of names that tell of a frame around other blocks, as in with-sidebar.
+FRAME_NAMES = frozenset("container has inner layout no outer page with wrap wrapper".split())
 MAIN_PRIOR = 20.0
+# Log-odds of a block that is set aside, of what is below one, and of one around the main part.
+ASIDE_WEIGHTS = {"aside": -12.0, "below": -8.0, "holds": -3.0}
 # Elements whose names say nothing.
 FRAMES = frozenset(["html", "body", "article", "main"])
 # Bounds of what pages can teach: the most one piece of evidence weighs, and the ties' chances.
@@ -82,22 +88,23 @@ _NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Block:
-    """A block element: place of its parent, tag, names, and sums over its text and below."""
+    """A block element: place of its parent, tag, names, and sums over its text and below.
 
-    __slots__ = ("parent", "tag", "names", "chars", "linked")
+    ``level`` says how much its names or tag speak against it: 1 for a part of a name beside others
+    that speak for content or for a frame (post-header), 2 for another part, 3 for a header, 4 for
+    a name that begins with such a part, or a tag of ``ASIDE_TAGS``.
+    """
+
+    __slots__ = ("parent", "tag", "names", "level", "chars", "linked")
 
-    def __init__(self, parent: int, tag: str, names: frozenset[str]):
+    def __init__(self, parent: int, tag: str, names: frozenset[str], level: int = 0):
         self.parent, self.tag, self.names = parent, tag, names
+        self.level = 0 if tag in ("html", "body") else 4 if tag in ASIDE_TAGS else level
+        if tag == "header":
+            self.level = 1 if names & MAIN_NAMES else max(level, 3)
         self.chars = self.linked = 0
 
-    @property
-    def aside(self) -> bool:
-        """Whether tag or name says that this is no content, wherever it stands."""
-        return self.tag in ASIDE_TAGS or (
-            self.tag not in FRAMES and not ASIDE_NAMES.isdisjoint(self.names)
-        )
-
-    def evidence(self) -> list[str]:
+    def evidence(self, named: bool = True) -> list[str]:
         links = self.linked / self.chars if self.chars else -1
         share = "none" if links < 0 else "low" if links < 0.3 else "mid" if links < 0.7 else "high"
         return [
@@ -105,17 +112,85 @@ class Block:
             f"tag {self.tag} links {share}",
             f"links {share}",
             f"size {min(self.chars.bit_length(), 12)}",
-            *(f"name {n}" for n in self.names if self.tag not in FRAMES),
+            *(f"name {n}" for n in self.names if named and self.tag not in FRAMES),
         ]
 
 
-def _names(attributes: str) -> frozenset[str]:
+def _names(attributes: str) -> tuple[frozenset[str], int]:
+    """The parts of an element's names, and the level of the name that speaks most against it."""
     if not attributes or attributes.isspace():
-        return frozenset()
-    found = set()
+        return frozenset(), 0
+    found, level = set(), 0
     for _, *values in _NAMES.findall(attributes):
-        found.update(w for w in _NAME_PART.findall("".join(values).lower()) if w.isalpha())
-    return frozenset(found)
+        for name in "".join(values).lower().split():
+            parts = [w for w in _NAME_PART.findall(name) if w.isalpha()]
+            found.update(parts)
+            if not ASIDE_NAMES.isdisjoint(parts):
+                if not (MAIN_NAMES | FRAME_NAMES).isdisjoint(parts):
+                    level = max(level, 1)
+                elif parts[0] == "header":
+                    level = max(level, 3)
+                else:
+                    level = max(level, 4 if parts[0] in ASIDE_NAMES else 2)
+    return frozenset(found), level
+
+
+@dataclass(frozen=True)
+class Places:
+    """What the tags of a page say of each block.
+
+    ``inside``: in the declared main part; ``holds``: around it or its outermost element, so that
+    names do not count; ``barred``: in a block of
+    ``BARRED_TAGS`` that is not around it; ``aside``: set aside by names or tag; ``below``: in a
+    block that is set aside.
+    """
+
+    declared: bool
+    inside: list[bool]
+    holds: list[bool]
+    barred: list[bool]
+    aside: list[bool]
+    below: list[bool]
+
+
+def places(blocks: list[Block]) -> Places:
+    """The declared main part are the outermost <article> and <main> elements with the fewest
+    barring tags around them; articles in a <main> count too, unless names set them aside."""
+    n = len(blocks)
+    bars, outer, clear = [0] * n, [""] * n, [True] * n
+    found, nested = [], []
+    for i, b in enumerate(blocks):
+        if i:
+            up = b.parent
+            bars[i] = bars[up] + (b.tag in BARRED_TAGS)
+            outer[i], clear[i] = outer[up], clear[up]
+        if b.tag in LABELLED:
+            if not outer[i]:
+                found.append(i)
+            elif outer[i] == "main" and clear[i] and ASIDE_NAMES.isdisjoint(b.names):
+                nested.append(i)
+            outer[i] = b.tag if outer[i] in ("", "main") else outer[i]
+        elif outer[i] and b.level >= 4:
+            clear[i] = False
+    least = min((bars[i] for i in found), default=0)
+    declared = {i for i in found if bars[i] == least}
+    inside = [False] * n
+    for i in range(n):
+        inside[i] = i in declared or (i > 0 and inside[blocks[i].parent])
+    holds = [False] * n
+    for up in (*declared, *(i for i in nested if inside[i] and bars[i] == least)):
+        while up >= 0 and not holds[up]:
+            holds[up] = True
+            up = blocks[up].parent
+    barred, aside, below = [False] * n, [False] * n, [False] * n
+    for i in range(1, n):
+        b, up = blocks[i], blocks[i].parent
+        barred[i] = barred[up] or (b.tag in BARRED_TAGS and not holds[i])
+        # The more the page says of where its main part is, the less a name has to.
+        least_level = 4 if inside[i] else 2 if declared else 3
+        aside[i] = b.level >= least_level and not holds[i]
+        below[i] = below[up] or aside[up]
+    return Places(bool(declared), inside, holds, barred, aside, below)
 
 
 def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
@@ -202,7 +277,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
                 close(last)
         if tag in BLOCKS:
             flush()
-            blocks.append(Block(current, tag, _names(attributes)))
+            blocks.append(Block(current, tag, *_names(attributes)))
             current = len(blocks) - 1
         links += tag == "a"
         stack.append((tag, current))
@@ -214,17 +289,22 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     return blocks, lines
 
 
-def labels(blocks: list[Block]) -> list[int] | None:
-    """1 for the blocks in a page's declared main part and outside of navigation, notices and the
-    like; None for a page that declares no main part."""
-    if not any(b.tag in LABELLED for b in blocks):
+def labels(blocks: list[Block]) -> list[int | None] | None:
+    """1 for the blocks in a page's declared main part, 0 for those outside of it or in navigation
+    and the like, None for what names speak against in the main part: the page does not tell.
+    None for a page that declares no main part."""
+    at = places(blocks)
+    if not at.declared:
         return None
-    out: list[int] = []
-    for b in blocks:
-        above = out[b.parent] if b.parent >= 0 else 0
-        barred = above == 2 or b.aside
-        out.append(2 if barred else int(above == 1 or b.tag in LABELLED))
-    return [int(x == 1) for x in out]
+    out: list[int | None] = []
+    for i, b in enumerate(blocks):
+        if at.barred[i] or not at.inside[i]:
+            out.append(0)
+        elif i and at.inside[b.parent] and out[b.parent] is None:
+            out.append(None)
+        else:
+            out.append(None if b.level and not at.holds[i] else 1)
+    return out
 
 
 @dataclass(frozen=True)
@@ -238,27 +318,37 @@ class TreeModel:
     def marginals(self, blocks: list[Block]) -> list[float]:
         """The probability of each block being content, by sum-product over the tree.
 
-        Messages are log-odds. A block that its tag or name sets aside is no content under either
-        kind of parent, so it tells its parent nothing; what is in it goes with it.
+        Messages are log-odds. A barred block is no content under either kind of parent, so it
+        tells its parent nothing. Names are evidence like any other, which messages can overrule;
+        a block around the declared main part is not judged by its names.
         """
         known, (p0, p1) = self.evidence, self.ties
         q0, q1 = 1 - p0, 1 - p1
         n = len(blocks)
         belief = [_PAGE] + [0.0] * (n - 1)
-        aside = [False] * n
+        at = places(blocks)
+        barred = at.barred
         for i in range(1, n):
-            b = blocks[i]
-            aside[i] = b.aside or aside[b.parent]
-            belief[i] = -_LIMIT if aside[i] else sum(known.get(e, 0.0) for e in b.evidence())
+            if barred[i]:
+                belief[i] = -_LIMIT
+                continue
+            seen = blocks[i].evidence(not at.holds[i])
+            if at.holds[i] and not at.inside[i]:
+                seen.append("holds")
+            if at.aside[i]:
+                seen.append("aside")
+            if at.below[i]:
+                seen.append("below")
+            belief[i] = sum(known.get(e, 0.0) for e in seen)
         up = [0.0] * n
         for i in range(n - 1, 0, -1):  # children come after their parents
-            if aside[i]:
+            if barred[i]:
                 continue
             odds = exp(_bounded(belief[i]))
             up[i] = log((p1 * odds + q1) / (p0 * odds + q0))
             belief[blocks[i].parent] += up[i]
         for i in range(1, n):
-            if aside[i]:
+            if barred[i]:
                 continue
             without = belief[blocks[i].parent] - up[i]
             odds = exp(_bounded(without))
@@ -282,8 +372,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             truth = labels(blocks)
             if truth is None:
                 continue
-            for b, x in zip(blocks[1:], truth[1:]):
-                found[f"tie {truth[b.parent]}", x] += 1
+            holds = places(blocks).holds
+            for i, (b, x) in enumerate(zip(blocks, truth)):
+                if i == 0 or x is None:
+                    continue
+                if truth[b.parent] is not None:
+                    found[f"tie {truth[b.parent]}", x] += 1
+                # What is around the main part is not outside of it.
+                if holds[i] and b.tag not in FRAMES:
+                    continue
                 found["all", x] += 1
                 # A tag counts together with its links: a list in a menu says little of others.
                 for e in b.evidence()[1:]:
@@ -325,11 +422,12 @@ def _model(counts: dict[str, tuple[int, int]]) -> TreeModel:
     prior: dict[str, tuple[float, float]] = {}
     prior |= {f"tag {t}": (0, MAIN_PRIOR) for t in LABELLED}
     prior |= {f"name {n}": (0, MAIN_PRIOR) for n in MAIN_NAMES}
+    prior |= {f"name {n}": (MAIN_PRIOR, 0) for n in ASIDE_NAMES}
     for tag in ("p", "h1", "h2", "h3", "blockquote", "pre"):
         prior[f"tag {tag}"] = (1, 2)
     prior["links high"], prior["links low"] = (2, 1), (1, 2)
     outside, inside = counts.get("all", (0, 0))
-    evidence = {}
+    evidence = dict(ASIDE_WEIGHTS)
     for seen in prior.keys() | counts.keys():
         if seen == "all" or seen.startswith("tie "):
             continue

@@ -94,3 +94,46 @@ def test_without_labelled_pages(spark):
 def test_odd_markup_does_not_fail(model):
     for page in ("<", "<p", "<a b='", "</p></div>", "<!--", "<script>", "a<b", "<p>" * 3000, "x" * 10**6):
         assert isinstance(h.main_text(page, model), str)
+
+
+_BODY = "<h1>Title of it</h1>" + "<p>First paragraph, with some words in it.</p>" * 4
+_TEXT = "\n".join(["Title of it"] + ["First paragraph, with some words in it."] * 4)
+
+
+@pytest.mark.parametrize(
+    "start,end",
+    [
+        ('<div class="layout with-sidebar">', "</div>"),
+        ('<div id="search-wrapper">', "</div>"),
+        ('<div class="long-form">', "</div>"),
+        ('<div class="sidebar">', "</div>"),
+        ('<form id="form1"><div class="header-notice">', "</div></form>"),
+        ('<main><div class="with-sidebar">', "</div></main>"),
+    ],
+)
+def test_names_around_the_main_part_do_not_bar_it(model, start, end):
+    page = _page(_BODY).replace("<article>", f"{start}<article>").replace("</article>", f"</article>{end}")
+    page = page.replace(end, f'<div class="sidebar"><p>More of our many stories, here.</p></div>{end}')
+    assert h.main_text(page, model) == _TEXT
+    truth = h.labels(h.parse(page)[0])
+    assert sum(x == 1 for x in truth) >= 6
+
+
+@pytest.mark.parametrize("title", ['<h1 class="post-header">', '<header class="entry-header"><h1>', "<header><h1>"])
+def test_named_titles_stay(model, title):
+    assert h.main_text(_page(_BODY.replace("<h1>", title)), model) == _TEXT
+
+
+def test_names_can_be_overruled_without_a_declared_part(model):
+    body = f'<div class="long-form">{_BODY}</div>'
+    assert h.main_text(_page(body, article=False), model) == _TEXT
+
+
+def test_many_comments_stay_out(model):
+    comment = '<article class="comment"><p>I do not agree with this, and have more words.</p></article>'
+    for name in ("comments", "comments-area", "comment-list"):
+        body = f'{_BODY}<section id="{name}">{comment * 12}{"<p>Nor do I, to be honest.</p>" * 12}</section>'
+        assert h.main_text(_page(body), model) == _TEXT
+    page = _page(_BODY).replace("<body>", "<body><header><h1>Name of the site</h1></header>")
+    page = page.replace("<body>", '<body><div class="cookie-banner"><p>We use cookies on this site.</p></div>')
+    assert h.main_text(page, model) == _TEXT
