@@ -251,7 +251,7 @@ class _Links:
     def __init__(self, nodes: DataFrame, sets: DataFrame, similarity: float, signer: Signer):
         self.nodes, self.sets, self.signer = nodes, sets, signer
         self.least = Fraction(similarity).limit_denominator(10_000)
-        self.floor = estimate_floor(similarity, len(signer.flips), signer.kept_bits)
+        self.floor = estimate_floor(similarity, len(signer.flips))
 
     def possible(self, rest: DataFrame) -> DataFrame:
         """Pairs (``node``, ``other``) of one bucket, in different components, that their sizes
@@ -361,13 +361,14 @@ def _agreements(a: str, b: str, signer: Signer):
     return F.lit(len(signer.flips)) - differing
 
 
-def estimate_floor(similarity: float, minima: int, kept_bits: int) -> int:
-    """Fewest agreeing minima of a pair that may reach ``similarity``.
+def estimate_floor(similarity: float, minima: int) -> int:
+    """Fewest agreeing minima of a pair that may reach ``similarity``: five standard deviations
+    below the expected number of equal minima.
 
-    Kept bits agree by chance in 1 of 2**kept_bits minima that differ, so a pair of similarity s
-    agrees in a share of s + (1 - s) / 2**kept_bits; five standard deviations are allowed.
+    No agreement by chance is counted on: the low bits of two shingles agree in all permutations
+    or in none, so sets that differ in few shingles may have no such agreement at all.
     """
-    share = similarity + (1 - similarity) / 2**kept_bits
+    share = similarity
     return math.floor(minima * share - 5 * math.sqrt(minima * share * (1 - share)))
 
 

@@ -100,3 +100,14 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(50, 51)], "a int, b int")
     roots = {r.node: r.root for r in connected_components(edges).collect()}
     assert roots == {**{i: 1 for i in range(1, 41)}, 50: 50, 51: 50}
+
+
+@pytest.mark.parametrize("similarity,sizes", [(0.8, [(4, 5), (8, 10), (16, 20)]), (0.85, [(6, 7), (17, 20)])])
+def test_short_documents_at_the_threshold_pass_the_estimate(similarity, sizes):
+    random = np.random.default_rng(5)
+    signer = Signer(bands_for(similarity))
+    floor = minhash.estimate_floor(similarity, len(signer.flips))
+    for a, b in sizes:
+        sets = [s for s in random.integers(0, 2**63, (5000, b), dtype=np.uint64) for s in (s[:a], s)]
+        low = signer.minima(sets) & 3
+        assert (low[:, 0::2] == low[:, 1::2]).sum(axis=0).min() >= floor
