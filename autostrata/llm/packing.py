@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autostrata.llm.common import whole
+from autostrata.llm.common import whole, with_row_key
 from autostrata.staging import materialize_counted
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -99,31 +99,37 @@ def pack(
     empty) has one piece of length 0 in no bin. Nothing is dropped.
 
     Pieces are dealt by hash into pools of about ``pool`` pieces, as many as the input asks for,
-    and each pool is packed by itself, so no task holds more than its pool. Within a pool equal
-    lengths go in the order of the id, so the result does not depend on the order of rows.
+    and each pool is packed by itself, so no task holds more than its pool. The hash is over id,
+    file and position of the row, which stay the same on retries (between runs where the files do), so rows that repeat an id (or
+    have none) spread as others do. Within a pool equal lengths go in the order of the id, then of
+    file and position.
 
     Result: ``id``, ``piece`` (from 0), ``first_token``, ``n_tokens``, ``pool``, ``bin`` (from 0
-    in its pool), ``bin_offset`` and ``bin_length``. Rows that repeat an id are packed each
-    (all in the pools of that id, so ids should be nearly unique); other columns are ignored; an empty table gives an empty result.
+    in its pool), ``bin_offset`` and ``bin_length``. Rows that repeat an id are packed each; other
+    columns are ignored; an empty table gives an empty result.
     """
     lengths = tuple(sorted(set(lengths)))
     largest = lengths[-1]
     count = words(text) if tokens is None else tokens
     sized = docs.select(F.col(id).alias("id"), F.coalesce(count, F.lit(0)).cast("bigint").alias("n"))
+    keyed, key = with_row_key(sized, "id")
+    tie = F.xxhash64(F.col(f"{key}.file"), F.col(f"{key}.row"))
+    sized = keyed.select("id", "n", tie.alias("tie"))
     last = F.greatest(F.ceil(F.col("n") / largest) - 1, F.lit(0))
-    pieces = sized.select("id", "n", F.explode(F.sequence(F.lit(0), last)).alias("piece")).select(
+    pieces = sized.select("id", "n", "tie", F.explode(F.sequence(F.lit(0), last)).alias("piece")).select(
         "id",
         F.col("piece").cast("int").alias("piece"),
         (F.col("piece") * largest).alias("first_token"),
         F.least(F.lit(largest), F.col("n") - F.col("piece") * largest).alias("n_tokens"),
+        "tie",
     )
     pieces, count = materialize_counted(pieces, "pieces")
     full = pieces.where("n_tokens > 0")
     pools = max(1, -(-count // pool))
-    dealt = full.withColumn("pool", F.pmod(F.xxhash64("id", "piece"), F.lit(pools)))
+    dealt = full.withColumn("pool", F.pmod(F.xxhash64("id", "piece", "tie"), F.lit(pools)))
     kind = T.StructType(
         [
-            *full.schema.fields,
+            *full.drop("tie").schema.fields,
             T.StructField("pool", T.LongType()),
             T.StructField("bin", T.IntegerType()),
             T.StructField("bin_offset", T.IntegerType()),
@@ -133,7 +139,7 @@ def pack(
 
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
-            ["n_tokens", "id", "piece"], ascending=[False, True, True], kind="stable"
+            ["n_tokens", "id", "piece", "tie"], ascending=[False, True, True, True], kind="stable"
         )
         packer = Packer(lengths, overhead)
         places = packer.pack(frame["n_tokens"].tolist())
@@ -143,7 +149,7 @@ def pack(
         return frame[[f.name for f in kind]]
 
     empty = pieces.where("n_tokens = 0").select(
-        *full.columns,
+        *full.drop("tie").columns,
         *(F.lit(None).cast(t).alias(c) for c, t in
           (("pool", "bigint"), ("bin", "int"), ("bin_offset", "int"), ("bin_length", "int"))),
     )

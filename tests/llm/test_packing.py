@@ -73,3 +73,10 @@ def test_token_counts_of_the_caller_and_empty_table(spark):
     rows = pack(docs, tokens=F.col("n"), lengths=(64, 32)).orderBy("doc_id", "piece").collect()
     assert [(r.doc_id, r.piece, r.first_token, r.n_tokens) for r in rows] == [(1, 0, 0, 64), (1, 1, 64, 36), (2, 0, 0, 0)]
     assert pack(docs.limit(0), tokens=F.col("n")).count() == 0
+
+
+def test_one_id_spreads_over_the_pools(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, 3) for i in range(2000)], "doc_id long, n int")
+    out = pack(docs, tokens=F.col("n"), lengths=(16, 32), pool=100).groupBy("pool").count().collect()
+    assert len(out) == 20 and sum(r["count"] for r in out) == 2000
+    assert max(r["count"] for r in out) < 200
