@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,12 +38,16 @@ class Packer:
     mask: int = 0
     used: list[int] = field(default_factory=list)
     size: list[int] = field(default_factory=list)
+    # The pieces, shortest first, and the sums of the first 0, 1, 2 ... of them.
+    rising: list[int] = field(default_factory=list)
+    sums: list[int] = field(default_factory=list)
 
     def pack(self, pieces: list[int]) -> list[tuple[int, int]]:
         """Bin and offset of each piece. ``pieces`` is sorted, longest first."""
-        left, out = sum(pieces), []
-        for piece in pieces:
-            left -= piece
+        out: list[tuple[int, int]] = []
+        self.rising = pieces[::-1]
+        self.sums = [0, *accumulate(self.rising)]
+        for at, piece in enumerate(pieces, 1):
             fitting = self.mask >> piece << piece
             room = (fitting & -fitting).bit_length() - 1 if fitting else -1
             if room >= 0:
@@ -50,7 +55,7 @@ class Packer:
             else:
                 bin = len(self.used)
                 self.used.append(0)
-                self.size.append(self._cheapest(piece, left))
+                self.size.append(self._cheapest(piece, len(pieces) - at))
             out.append((bin, self.used[bin]))
             self.used[bin] += piece
             self._give(bin)
@@ -60,10 +65,15 @@ class Packer:
     def _smallest(self, n: int) -> int:
         return self.lengths[bisect_left(self.lengths, n)]
 
-    def _cheapest(self, piece: int, left: int) -> int:
-        """The permitted length of least cost per token expected in it."""
-        fits = [n for n in self.lengths if n >= piece]
-        return min(fits, key=lambda n: ((n + self.overhead) / min(n, piece + left or 1), n))
+    def _cheapest(self, piece: int, later: int) -> int:
+        """The permitted length of least cost per token expected in it, with ``later`` pieces
+        still to come."""
+
+        def cost(n: int) -> float:
+            fitting = min(later, bisect_right(self.rising, n - piece))
+            return (n + self.overhead) / (min(n, piece + self.sums[fitting]) or 1)
+
+        return min((n for n in self.lengths if n >= piece), key=lambda n: (cost(n), n))
 
     def _take(self, room: int) -> int:
         bins = self.rooms[room]

@@ -80,3 +80,19 @@ def test_one_id_spreads_over_the_pools(spark):
     out = pack(docs, tokens=F.col("n"), lengths=(16, 32), pool=100).groupBy("pool").count().collect()
     assert len(out) == 20 and sum(r["count"] for r in out) == 2000
     assert max(r["count"] for r in out) < 200
+
+
+def test_a_smaller_bin_is_opened_where_nothing_fits_the_rest_of_the_largest():
+    opened = []
+
+    class Watched(Packer):
+        def _give(self, bin):
+            if bin == len(opened):
+                opened.append(self.size[bin])
+            super()._give(bin)
+
+    Watched((16, 20), 3).pack([12] * 50)
+    assert opened == [16] * 50
+    opened.clear()
+    Watched((16, 20), 3).pack([12] * 50 + [8] * 50)
+    assert opened == [20] * 50
