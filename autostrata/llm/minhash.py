@@ -228,7 +228,7 @@ def _candidate_sets(
 ) -> DataFrame:
     """The shingles of each node in ``members`` (and of some others), from a second look at the
     texts. One document of each node is found by a bitmap of those documents' ids, so no text is
-    shuffled."""
+    shuffled. Copies that come along, by a foreign bit or a repeated id, are taken out again."""
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
     hashes = wanted.select(F.xxhash64("id").alias("h"))
     bitmap = materialize(bitmap_of(hashes, "h", bits), "bitmap")
@@ -242,7 +242,7 @@ def _candidate_sets(
     sets = chosen.mapInArrow(
         lambda batches: _node_sets(batches, words), "node binary, shingles array<bigint>"
     )
-    return materialize(sets, "sets")
+    return materialize(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
 class _Links:

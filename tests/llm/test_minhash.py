@@ -111,3 +111,19 @@ def test_short_documents_at_the_threshold_pass_the_estimate(similarity, sizes):
         sets = [s for s in random.integers(0, 2**63, (5000, b), dtype=np.uint64) for s in (s[:a], s)]
         low = signer.minima(sets) & 3
         assert (low[:, 0::2] == low[:, 1::2]).sum(axis=0).min() >= floor
+
+
+def test_each_node_has_one_set(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text)] * 50 + [(2, text + " tail")] * 3 + [(3, "something else")]
+    found, inner = [], minhash._candidate_sets
+
+    def kept(*args):
+        found.append(inner(*args))
+        return found[-1]
+
+    monkeypatch.setattr(minhash, "_candidate_sets", kept)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3)}
+    assert sorted(len(r.shingles) for r in found[0].collect()) == [26, 27]
