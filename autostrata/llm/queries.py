@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from autostrata.llm.decontaminate import PositionalIndex
 from autostrata.llm.exact_dedup import exact_groups
 from autostrata.llm.minhash import near_duplicates
 from autostrata.llm.packing import pack
+from autostrata.llm.periodic_runs import periodic_runs
 from autostrata.llm.sharding import shard_documents
 from autostrata.llm.suffix_dedup import remove_repeats
 from autostrata.staging import materialize
@@ -122,6 +124,66 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+def _repeating(text: pd.Series, checksum: pd.Series) -> pd.Series:
+    """The text from some word on repeating itself; which word and how often, the checksum says."""
+
+    def repeated(value: str | None, number: int) -> str | None:
+        words = value.encode().split() if value else []
+        if not words:
+            return value
+        g = number // 10
+        at = g % len(words)
+        period = 1 + (len(words) - at) // (3 + g % 8)
+        rest = words[at : at + period] * (len(words) // period + 1)
+        return b" ".join(words[:at] + rest[: len(words) - at]).decode()
+
+    return pd.Series([repeated(v, int(n)) for v, n in zip(text, checksum)], dtype=object)
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """Documents, of which every tenth by its id's checksum repeats itself from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    planted = F.when(checksum % 10 == 0, F.col("text"))
+    repeating = F.pandas_udf(_repeating, "string")
+    text = F.when(checksum % 10 == 0, repeating(planted, checksum)).otherwise(F.col("text"))
+    return docs.select(*(text.alias(c) if c == "text" else c for c in docs.columns))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which have a planted one."""
+    docs = with_planted_period(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(docs, keep_text=False)
+    # Greatest exponent, compared without division; of equal ones the first, as runs are sorted.
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.try_element_at("runs", F.lit(1)),
+        lambda top, run: F.when(
+            run["length"] * top["period"] > top["length"] * run["period"], run
+        ).otherwise(top),
+    )
+    listed = F.array_join(
+        F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])),
+        "\n",
+    )
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best.alias("_best"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    ).select(
+        "doc_id",
+        "n_runs",
+        "_best.start",
+        "_best.length",
+        "_best.period",
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_extraction": op2_html_extraction,
@@ -133,6 +195,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE = {
@@ -145,4 +208,81 @@ ORACLE = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_periodic_runs": """
+        WITH digits AS (
+            SELECT doc_id, text, list_transform(
+                string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)
+            ) AS bytes
+            FROM documents
+        ), checked AS (
+            SELECT doc_id, text, xor(list_reduce(
+                bytes,
+                lambda acc, byte: xor(acc >> 8, list_reduce(
+                    range(8),
+                    lambda v, step: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END,
+                    xor(acc, byte) & 255
+                )),
+                4294967295::BIGINT
+            ), 4294967295) AS h
+            FROM digits
+        ), plain AS (
+            SELECT doc_id, h, h // 10 AS g, coalesce(list_filter(
+                string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''
+            ), []) AS words
+            FROM checked
+        ), planned AS (
+            SELECT *, len(words) AS n, g % nullif(len(words), 0) AS a,
+                   1 + (len(words) - g % nullif(len(words), 0)) // (3 + g % 8) AS p
+            FROM plain
+        ), word AS (
+            SELECT doc_id, n, i, words[1 + CASE WHEN h % 10 <> 0 OR i < a THEN i ELSE a + (i - a) % p END] AS w
+            FROM (SELECT *, unnest(range(n)) AS i FROM planned)
+        ), three AS (
+            SELECT doc_id, n, i, hash(w, w2, w3) AS t, w, w2, w3
+            FROM (
+                SELECT *, lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS w2,
+                       lead(w, 2) OVER (PARTITION BY doc_id ORDER BY i) AS w3
+                FROM word
+            )
+            WHERE w3 IS NOT NULL
+        ), often AS (
+            SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, t) AS times FROM three)
+            WHERE times > 2
+        ), equal AS (
+            SELECT a.doc_id, a.i, b.i - a.i AS q
+            FROM often a JOIN often b
+              ON a.doc_id = b.doc_id AND a.t = b.t AND a.w = b.w AND a.w2 = b.w2 AND a.w3 = b.w3
+             AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+        ), stretch AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + 2 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+            GROUP BY doc_id, q, island
+            HAVING count(*) + 2 + q >= greatest(6, 4 * q)
+        ), run AS (
+            SELECT * FROM stretch s
+            WHERE NOT EXISTS (
+                FROM stretch o
+                WHERE o.doc_id = s.doc_id AND o.q < s.q AND o.start <= s.start
+                  AND o.start + o.length >= s.start + s.length
+            )
+        ), listed AS (
+            SELECT doc_id, count(*) AS n_runs,
+                   string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q) AS runs,
+                   arg_max({'start': start, 'length': length, 'q': q},
+                           {'exponent': length / q, 'start': -start, 'q': -q}) AS best
+            FROM run GROUP BY doc_id
+        ), dropped AS (
+            SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM run
+        ), kept AS (
+            SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text
+            FROM word ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs,
+               CAST(best.start AS BIGINT) AS start, CAST(best.length AS BIGINT) AS length,
+               CAST(best.q AS BIGINT) AS period,
+               CAST(1000 * best.length // best.q AS BIGINT) AS exponent_milli,
+               sha256(coalesce(runs, '')) AS runs_sha256,
+               sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }
