@@ -16,6 +16,7 @@ from autostrata.llm.packing import pack
 from autostrata.llm.periodic_runs import periodic_runs
 from autostrata.llm.sharding import shard_documents
 from autostrata.llm.suffix_dedup import remove_repeats
+from autostrata.llm.token_alignment import link_statistics
 from autostrata.staging import materialize
 
 
@@ -184,6 +185,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents by two tokenizers, aligned, with the corpus counts of their links."""
+    found = link_statistics(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_extraction": op2_html_extraction,
@@ -196,6 +205,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE = {
