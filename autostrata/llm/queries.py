@@ -14,6 +14,7 @@ from autostrata.llm.exact_dedup import exact_groups
 from autostrata.llm.minhash import near_duplicates
 from autostrata.llm.packing import pack
 from autostrata.llm.periodic_runs import periodic_runs
+from autostrata.llm.quality_forest import judge_documents
 from autostrata.llm.sharding import shard_documents
 from autostrata.llm.suffix_dedup import remove_repeats
 from autostrata.llm.token_alignment import link_statistics
@@ -193,6 +194,18 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of all documents, and a verdict that no row of the held-out fourth has shaped."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    judged = judge_documents(
+        docs.select("doc_id", "text"), labels.where(toxicity.crc_remainder("doc_id") != 2)
+    )
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "anomaly",
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_extraction": op2_html_extraction,
@@ -206,6 +219,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_alignment": op12_token_alignment,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLE = {
