@@ -1,5 +1,6 @@
 from autostrata.sources.files import (
     consolidate,
+    file_headers,
     read_fleet,
     read_municipalities,
     read_yearly,
@@ -13,6 +14,7 @@ from autostrata.sources.tables import full_load, save_table, use_layer
 __all__ = [
     "consolidate",
     "container_links",
+    "file_headers",
     "full_load",
     "linked_files",
     "read_fleet",

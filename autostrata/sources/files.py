@@ -94,30 +94,46 @@ def consolidate(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def file_headers(
+    spark: SparkSession, root: str, years: list[int] | None = None, suffix: str = ".csv"
+) -> DataFrame:
+    """``path``, ``nr_ano`` and ``header`` (first line) of the files below ``root`` that end in
+    ``suffix`` and lie in folders whose whole name is a number, of the listed years if given.
+
+    One pass over the files, however many there are: the task that reads the beginning of a file
+    keeps its first line. Files of other years and other names are not opened. Files without a
+    line are absent.
+    """
+    path = percent_decoded(F.col("_metadata.file_path"))
+    year = F.regexp_extract("_metadata.file_path", r"/(\d+)/[^/]*$", 1)
+    lines = (
+        spark.read.options(recursiveFileLookup="true", pathGlobFilter=f"*{suffix}")
+        .text(root)
+        .where((year != "") & (F.col("_metadata.file_block_start") == 0))
+    )
+    if years is not None:
+        # A folder's name may have leading zeros.
+        lines = lines.where(F.regexp_replace(year, "^0+", "").isin([str(y) for y in years]))
+    placed = lines.select(
+        path.alias("path"),
+        year.try_cast("int").alias("nr_ano"),
+        "value",
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    return placed.groupBy("path", "nr_ano").agg(F.min_by("value", "_place").alias("header"))
+
+
 def yearly_layouts(
     spark: SparkSession, root: str, years: list[int] | None = None, suffix: str = ".csv"
 ) -> list[list[str]]:
-    """The files below ``root`` in folders named by a year, in groups that share a header.
+    """The files of ``file_headers`` in groups that share a header, for ``consolidate``.
 
-    Only names that end in ``suffix`` count, and only folders whose whole name is a number; years
-    without a folder or without files are left out. The driver sees paths and one line of each
-    file, no data.
+    Years without a folder or without files are left out. The driver sees paths and one line of
+    each file, no data.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup="true", pathGlobFilter=f"*{suffix}")
-        .load(root)
-        .select("path")
-    )
-    base = re.compile(rf".*/(\d+)/[^/]*{re.escape(suffix)}")
     groups: dict[str, list[str]] = defaultdict(list)
-    for path in sorted(row[0] for row in listed.collect()):
-        year = base.fullmatch(path)
-        if year and (years is None or int(year[1]) in years):
-            plain = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-            header = spark.read.text(plain).head(1)
-            if header:
-                groups[header[0][0]].append(plain)
+    for path, _, header in sorted(file_headers(spark, root, years, suffix).collect()):
+        groups[header].append(re.sub(r"([\[\]{}*?\\])", r"\\\1", path))
     return list(groups.values())
 
 

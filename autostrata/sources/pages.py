@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from autostrata.functions.filenames import link_file_name
 
-# Comments and raw-text elements hold no links, whatever they look like.
-_COMMENT = r"(?s)<!--.*?-->"
-_RAW_TEXT = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
+# What follows a tag's name: quoted values may hold any letter. Nothing is tried twice, and what is
+# never closed reaches to the page's end, so a page is read in linear time, however broken it is.
+_REST = r"(?:[^>\"']++|\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"
 
-# What may stand in a tag after its name: quoted values may hold any letter. Nothing is tried twice.
-_REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-_ANCHOR = rf"<a(?=[\s/>]){_REST}"
+# What a page is cut into, in order: comments and raw text, which hold no links, and tags.
+_TOKEN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<(?:script(?=[\s/>]).*?(?:</script\s*>|\z)|style(?=[\s/>]).*?(?:</style\s*>|\z))"
+    rf"|</?[a-z]{_REST}"
+)
 
 # The highest code point; larger numbers are no character references.
 _LAST = 0x10FFFF
@@ -31,37 +34,43 @@ def _attributes_before(name: str) -> str:
 _HREF = rf"(?is)\A<a{_attributes_before('href')}(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
 
-def _markup(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, _COMMENT, ""), _RAW_TEXT, "")
+def _with_anchors(pages: DataFrame, html: str, tag: str, element_id: str | None) -> DataFrame:
+    """``pages`` with their ``_anchors``: the anchor tags inside the first matching container,
+    nested elements of its kind included.
 
-
-def _container_anchors(html: Column, tag: str, element_id: str | None) -> Column:
-    """Anchor tags inside the first matching container, nested elements of its kind included.
-
-    The tags after the container's opening tag are walked in order while counting how many
-    elements of the container's kind are open; the anchors before the one that closes it count.
+    The page is tokenized once. Of its tags those of the container's kind and the anchors stay. They
+    are walked in order from the container's opening tag on, counting how many elements of that
+    kind are open; the anchors before the tag that closes the container count. Each step is a
+    column of its own, so that nothing is computed twice.
     """
     name = re.escape(tag)
     if element_id is None:
-        opening = rf"<{name}(?=[\s/>]){_REST}"
+        opening = rf"(?is)\A<{name}[\s/>]"
     else:
         wanted = re.escape(element_id)
         opening = (
-            rf"<{name}{_attributes_before('id')}"
-            rf"(?:\"{wanted}\"|'{wanted}'|{wanted}(?=[\s>])){_REST}"
+            rf"(?is)\A<{name}{_attributes_before('id')}"
+            rf"(?:\"{wanted}\"|'{wanted}'|{wanted}(?=[\s>]))"
         )
-    body = F.regexp_extract(html, rf"(?is){opening}(.*)\z", 1)
-    tags = F.regexp_extract_all(
-        body, F.lit(rf"(?is)({_ANCHOR}|<{name}(?=[\s/>]){_REST}|</{name}\s*>)"), F.lit(1)
+    of_kind = rf"(?is)\A<(?:a|/?{name})(?=[\s/>]).*>\z"
+    tags = F.filter(
+        F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), lambda piece: piece.rlike(of_kind)
+    )
+    opens = F.filter(
+        F.transform(F.col("_tags"), lambda piece, i: F.when(piece.rlike(opening), i)),
+        lambda i: i.isNotNull(),
     )
+    # Behind the opening tag; nothing is left of a page without one.
+    first = F.coalesce(F.try_element_at("_opens", F.lit(1)) + 2, F.size("_tags") + 1)
+    inner = F.slice("_tags", F.col("_first"), F.size("_tags"))
     # Depth before the next tag, number of tags so far, and the number of the closing one.
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"))
 
     def step(state: Column, piece: Column) -> Column:
         change = (
-            F.when(piece.rlike(rf"(?is)\A</{name}"), -1)
+            F.when(piece.rlike(rf"(?is)\A</{name}[\s/>]"), -1)
             .when(piece.rlike(r"(?s)/\s*>\z"), 0)  # closed by itself
-            .when(piece.rlike(rf"(?is)\A<{name}(?=[\s/>])"), 1)
+            .when(piece.rlike(rf"(?is)\A<{name}[\s/>]"), 1)
             .otherwise(0)
         )
         depth, at = state["depth"] + change, state["at"] + 1
@@ -72,16 +81,23 @@ def _container_anchors(html: Column, tag: str, element_id: str | None) -> Column
             F.when(closed, at).otherwise(state["end"]).alias("end"),
         )
 
-    end = F.aggregate(tags, start, step, lambda state: state["end"])
-    inside = F.slice(tags, F.lit(1), F.when(end > 0, end).otherwise(F.size(tags)))
-    return F.filter(inside, lambda piece: piece.rlike(r"(?is)\A<a[\s/>]"))
+    end = F.aggregate("_inner", start, step, lambda state: state["end"])
+    inside = F.slice("_inner", F.lit(1), F.when(F.col("_end") > 0, F.col("_end")).otherwise(F.size("_inner")))
+    return (
+        pages.withColumn("_tags", tags)
+        .withColumn("_opens", opens)
+        .withColumn("_first", first)
+        .withColumn("_inner", inner)
+        .withColumn("_end", end)
+        .withColumn("_anchors", F.filter(inside, lambda piece: piece.rlike(r"(?is)\A<a[\s/>]")))
+    )
 
 
 def _decoded(value: Column) -> Column:
     """The value with its numeric and named character references replaced."""
-    named = F.create_map(
-        *(F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code)))
-    )
+    # One string that is cut up once, while the query is planned.
+    listed = "\x01".join(f"{name}\x02{chr(code)}" for name, code in name2codepoint.items())
+    named = F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
     parts = F.split(value, "&")
 
     def letter(part: Column) -> Column:
@@ -121,12 +137,12 @@ def container_links(
     them from 0 in page order. A page without the container has no links. Each page is handled
     by itself, so there is no shuffle.
     """
-    anchors = _container_anchors(_markup(F.col(html)), tag, element_id)
-    links = F.filter(F.transform(anchors, _href), lambda href: href != "")
+    links = F.filter(F.transform("_anchors", _href), lambda href: href != "")
     if keyword is not None:
         links = F.filter(links, lambda href: F.contains(F.lower(href), F.lit(keyword.lower())))
     others = [c for c in pages.columns if c != html]
-    return pages.select(*others, F.posexplode(links).alias("nr_posicao", "href"))
+    found = _with_anchors(pages, html, tag, element_id)
+    return found.select(*others, F.posexplode(links).alias("nr_posicao", "href"))
 
 
 def linked_files(links: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def bronze_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def years_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A yearly output written year range by year range, one of them twice: all years stay."""
     path = staging_path(spark, "yearly")
-    rows = _with_year(adapter.fleet(spark, sf_dir))
+    rows = _with_year(materialize(adapter.fleet(spark, sf_dir), "fleet"))
     for years in ("nr_ano < 1996", "nr_ano >= 1996", "nr_ano = 1995"):
         write_yearly(rows.where(years), path)
     return read_yearly(spark, path)
@@ -177,13 +177,12 @@ def dim_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fato_frota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture has one row per municipality, fuel and month, so no copy of it is needed."""
+    """As the job builds it: from a saved fleet and saved dimensions."""
     return silver.fato_frota(
-        adapter.fleet(spark, sf_dir),
+        materialize(adapter.fleet(spark, sf_dir), "fleet"),
         adapter.states(spark, sf_dir),
         _dim_municipio(spark, sf_dir),
         _dim_combustivel(spark, sf_dir),
-        unique=True,
     )
 
 
@@ -239,7 +238,7 @@ def fato_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duplicated_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Municipalities, fuels and months counted twice, since each April is published twice."""
-    fleet = adapter.republished(adapter.fleet(spark, sf_dir))
+    fleet = adapter.republished(materialize(adapter.fleet(spark, sf_dir), "fleet"))
     states = adapter.states(spark, sf_dir)
     rows = silver.fleet_keys(
         fleet, states, _dim_municipio(spark, sf_dir), _dim_combustivel(spark, sf_dir)

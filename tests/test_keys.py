@@ -19,14 +19,13 @@ def _rows(df):
     return sorted((tuple((v is not None, str(v)) for v in r) for r in df.collect()))
 
 
-@pytest.mark.parametrize("unique", [False, True])
-def test_range_key_equals_global_row_number(spark, unique):
+def test_range_key_equals_global_row_number(spark):
     df = spark.range(0, 20_000, 1, 8).select(
         F.when(F.col("id") % 3 > 0, F.col("id") % 17).alias("a"),
         F.hash("id").alias("b"),
         F.concat(F.lit("x"), F.col("id")).alias("c"),
     )
-    got = range_key(df, "n", ["a", "b"], unique=unique)
+    got = range_key(df, "n", ["a", "b"])
     assert dict(got.dtypes)["n"] == "bigint"
     assert _rows(got) == _rows(_global_numbers(df, "n", ["a", "b"]))
 
@@ -40,8 +39,7 @@ def test_copies_of_one_row_are_spread_over_ranges(spark, monkeypatch):
     df = spark.range(0, 40_000, 1, 8).select(
         F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("a")
     )
-    monkeypatch.setattr(keys, "RANGE_BYTES", 30_000)
-    # Small test ranges would be merged into one again.
+    # Small test ranges would be merged into one.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = range_key(df, "n", ["a"])
@@ -59,21 +57,24 @@ def test_dense_key_breaks_ties_by_the_other_columns(spark):
     assert {r.b: r.n for r in numbered.collect()} == {9: 1, 2: 2, 3: 3, 4: 4, 5: 5}
 
 
-def test_number_of_ranges_follows_the_stored_size(spark, monkeypatch):
-    df = spark.range(5_000).select(F.hash("id").alias("a"))
+def test_rows_are_written_once_and_counted_from_footers(spark, monkeypatch):
+    df = spark.range(5_000).select(F.hash("id").alias("a"), F.lit("x" * 100).alias("b"))
     written = []
     monkeypatch.setattr(
         keys, "materialize", lambda df, label: written.append(materialize(df, label)) or written[-1]
     )
-    monkeypatch.setattr(keys, "RANGE_BYTES", 10_000)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        range_key(df, "n", ["a"])
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    wanted = -(-stored_bytes(written[0]) // 10_000)
-    assert wanted > 1
-    assert written[-1].select(F.shiftright("_place", 33)).distinct().count() == wanted
+    numbered = range_key(df, "n", ["a"])
+    assert len(written) == 1
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    counting = plan.split("BroadcastExchange")[1]
+    assert "ReadSchema: struct<>" in counting
+    assert numbered.count() == 5_000 and numbered.agg(F.max("n")).first()[0] == 5_000
+
+
+def test_stored_bytes_of_a_copy(spark):
+    copy = materialize(spark.range(10_000), "sized")
+    files = copy.select("_metadata.file_path", "_metadata.file_size").distinct()
+    assert stored_bytes(copy) == files.agg(F.sum("file_size")).first()[0]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

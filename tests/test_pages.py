@@ -2,6 +2,8 @@
 
 import time
 
+import pytest
+
 from autostrata.sources import container_links, linked_files
 
 PAGE = """<html><body>
@@ -87,3 +89,26 @@ def test_many_links_take_linear_time(spark):
     start = time.perf_counter()
     assert len(_inside(spark, html)) == 32_000
     assert time.perf_counter() - start < 10
+
+
+@pytest.mark.parametrize("piece", ["<!-- ", "<script ", "<style>x", "<a ", "<a href='x ", "<a href=", '<"', "&", "<!-- -- "])
+def test_broken_pages_take_linear_time(spark, piece):
+    """A page of a megabyte that nothing closes; a link before it is found all the same."""
+    html = "<div><a href='/1'>x</a>" + piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    assert _inside(spark, html)[:1] == ["/1"]
+    assert time.perf_counter() - start < 10
+
+
+def test_what_is_never_closed_reaches_to_the_end(spark):
+    before = "<div><a href='/1'>x</a>"
+    for rest in ("<!-- <a href='/2'>x</a>", "<script><a href='/2'>x</a></div>"):
+        assert _inside(spark, before + rest) == ["/1"]
+    quoted = before + "<p title='<!-- <a href=x>'></p><a href='/3' title=\"</div>\">y</a></div>"
+    assert _inside(spark, quoted) == ["/1", "/3"]
+
+
+def test_pages_are_tokenized_once(spark):
+    pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
+    plan = container_links(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from autostrata.plans import jobs
 from autostrata.sources import (
     consolidate,
+    file_headers,
     full_load,
     read_fleet,
     read_municipalities,
@@ -215,3 +216,45 @@ def test_consolidation_by_header_year_and_suffix(spark, tmp_path):
     assert {r.nr_ano for r in years.collect()} == {2024, 2025} and years.count() == 3
     jobs.consolidate_years(spark, str(root), str(tmp_path / "all"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "all")).count() == 3
+
+
+def _jobs(spark, name, action):
+    """How many jobs an action runs."""
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    try:
+        result = action()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(context.statusTracker().getJobIdsForGroup(name))
+
+
+def test_headers_take_as_many_jobs_for_many_files_as_for_few(spark, tmp_path):
+    counts = {}
+    for files in (40, 400):
+        root = tmp_path / f"r{files}"
+        for year in (2023, 2024):
+            (root / str(year)).mkdir(parents=True)
+            for i in range(files // 2):
+                header = "a,b" if i % 3 else "b,c"
+                (root / str(year) / f"f {i:04d}+.csv").write_text(f"{header}\n" + f"{i},x\n" * (i % 5))
+        (root / "2024" / "empty.csv").write_text("")
+        (root / "2024_old").mkdir()
+        (root / "2024_old" / "o.csv").write_text("z\n1\n")
+        layouts, counts[files] = _jobs(spark, f"headers {files}", lambda: yearly_layouts(spark, str(root)))
+        assert sorted(map(len, layouts)) == sorted(
+            2 * sum(1 for i in range(files // 2) if bool(i % 3) == part) for part in (False, True)
+        )
+        rows = consolidate(spark, layouts, year="nr_ano")
+        assert rows.count() == 2 * sum(i % 5 for i in range(files // 2))
+        assert set(rows.columns) == {"a", "b", "c", "nm_file", "nr_ano"}
+    assert counts[40] == counts[400]
+
+
+def test_headers_of_one_year(spark, tmp_path):
+    for year in ("2023", "02024", "x"):
+        (tmp_path / year).mkdir()
+        (tmp_path / year / "a b%41.csv").write_text(f"h{year},i\n1,2\n")
+    found = file_headers(spark, str(tmp_path), [2024]).collect()
+    assert [(r.nr_ano, r.header) for r in found] == [(2024, "h02024,i")]
+    assert found[0].path.endswith("/02024/a b%41.csv")
