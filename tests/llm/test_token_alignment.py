@@ -105,6 +105,15 @@ def test_groups_and_slices(docs, monkeypatch):
         assert {(r.doc_id, r.groups) for r in align(docs).collect()} == want
 
 
+def test_byte_tokenizer_equals_the_files_own_library():
+    own = Tokenizer.from_file(BYTE_BPE)
+    own.encode_special_tokens = True
+    letters = [chr(c) for c in range(0, 0x110000, 5) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c}{c} 1{c}2\n{c}'s  {c}" for c in letters] + ["x" * 50_000, " " * 50_000]
+    expected = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+    assert token_alignment.byte_tokenizer(BYTE_BPE)[0](texts) == expected
+
+
 def test_search_equals_binary_search():
     rng = np.random.default_rng(4)
     for _ in range(300):
