@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from autostrata import seeds
-from autostrata.config import BRONZE, FLEET_TABLE, GOLD, MUNICIPALITY_TABLE, SILVER, TABLE_FORMAT
+from autostrata.config import (
+    BRONZE,
+    FLEET_TABLE,
+    GOLD,
+    MUNICIPALITY_TABLE,
+    REJECTED_SUFFIX,
+    SILVER,
+    TABLE_FORMAT,
+)
 from autostrata.plans import gold, quality, silver
 from autostrata.sources import (
     consolidate,
     full_load,
     read_fleet,
     read_municipalities,
+    rejected_lines,
     save_table,
     use_layer,
     write_yearly,
@@ -23,6 +32,9 @@ from autostrata.staging import materialize, temporary_area
 # Share of unidentified fuels, in percent of the records, above which a state and month is listed.
 ALERT_PERCENT = 30.0
 
+# Column with the text of a line that does not fit the schema.
+REJECTED_LINE = "tx_linha"
+
 
 def consolidate_years(
     spark: SparkSession, root: str, output: str, years: list[int] | None = None
@@ -44,10 +56,21 @@ def build_bronze(
     municipality_paths: Paths,
     table_format: str = TABLE_FORMAT,
 ) -> None:
-    """Full loads of the fleet files and the municipality list."""
+    """Full loads of the fleet files and the municipality list.
+
+    Lines that do not fit the schema are loaded as far as they can be read, like all others, and
+    kept as they are in a table beside the raw one. They are found by a second read of the files,
+    which writes nothing else.
+    """
     use_layer(spark, BRONZE)
-    full_load(read_fleet(spark, fleet_paths), FLEET_TABLE, table_format)
-    full_load(read_municipalities(spark, municipality_paths), MUNICIPALITY_TABLE, table_format)
+    loads = [
+        (FLEET_TABLE, read_fleet, fleet_paths),
+        (MUNICIPALITY_TABLE, read_municipalities, municipality_paths),
+    ]
+    for table, read, paths in loads:
+        full_load(read(spark, paths), table, table_format)
+        rejected = rejected_lines(read(spark, paths, malformed=REJECTED_LINE), REJECTED_LINE)
+        full_load(rejected, table + REJECTED_SUFFIX, table_format)
 
 
 def build_silver(spark: SparkSession, table_format: str = TABLE_FORMAT) -> None:

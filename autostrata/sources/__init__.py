@@ -4,6 +4,7 @@ from autostrata.sources.files import (
     read_fleet,
     read_municipalities,
     read_yearly,
+    rejected_lines,
     select_years,
     write_yearly,
     yearly_layouts,
@@ -20,6 +21,7 @@ __all__ = [
     "read_fleet",
     "read_municipalities",
     "read_yearly",
+    "rejected_lines",
     "save_table",
     "select_years",
     "use_layer",

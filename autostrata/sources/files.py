@@ -69,6 +69,13 @@ def read_municipalities(
     )
 
 
+def rejected_lines(lines: DataFrame, malformed: str) -> DataFrame:
+    """Lines that do not fit the schema, of a frame read with a ``malformed`` column: the file they
+    are in as ``nm_arquivo``, what could be read of them, and their text."""
+    file = percent_decoded(F.col("_metadata.file_name")).alias("nm_arquivo")
+    return lines.where(F.col(malformed).isNotNull()).select(file, "*")
+
+
 def consolidate(
     spark: SparkSession,
     layouts: list[Paths],

@@ -206,6 +206,21 @@ ORACLE: dict[str, str] = {
         "CAST(y AS INTEGER) AS nr_ano FROM fleet WHERE y IN (1996, 1997)",
     ),
     "municipality_csv_load": _query([MUNICIPALITIES], "SELECT * FROM rfb"),
+    "rejected_csv_lines": _query(
+        [FLEET],
+        """
+SELECT nm_uf, nm_municipio, nm_combustivel,
+       CASE WHEN qtd_veiculos % 7 <> 1 THEN qtd_veiculos END AS qtd_veiculos,
+       CASE WHEN qtd_veiculos % 11 <> 1 THEN nm_file
+            WHEN qtd_veiculos % 13 = 1 THEN 'extra' END AS nm_file,
+       concat_ws(',', nm_uf, nm_municipio, nm_combustivel,
+                 qtd_veiculos || CASE WHEN qtd_veiculos % 7 = 1 THEN '.0' ELSE '' END,
+                 CASE WHEN qtd_veiculos % 11 <> 1 THEN nm_file END,
+                 CASE WHEN qtd_veiculos % 13 = 1 THEN 'extra' END) AS tx_linha
+FROM fleet
+WHERE qtd_veiculos % 7 = 1
+   OR (qtd_veiculos % 11 = 1) <> (qtd_veiculos % 13 = 1)""",
+    ),
     "full_load_tables": _query(
         [FLEET],
         "SELECT nm_uf, nm_municipio, nm_combustivel, qtd_veiculos, nm_file, "

@@ -19,6 +19,7 @@ from autostrata.sources import (
     read_fleet,
     read_municipalities,
     read_yearly,
+    rejected_lines,
     save_table,
     use_layer,
     write_yearly,
@@ -113,6 +114,27 @@ def municipality_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_municipalities(spark, path)
 
 
+def rejected_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that a load of the fleet could not read in full: odd counts have a decimal point, some
+    lines lack their last field or have one too many."""
+    path = staging_path(spark, "damaged")
+    quantity = F.col("qtd_veiculos")
+    count = quantity.cast("string")
+    fields = ["nm_uf", "nm_municipio", "nm_combustivel"]
+    damaged = F.concat_ws(
+        ",",
+        *fields,
+        F.when(quantity % 7 == 1, F.concat(count, F.lit(".0"))).otherwise(count),
+        F.when(quantity % 11 != 1, F.col("nm_file")),
+        F.when(quantity % 13 == 1, F.lit("extra")),
+    )
+    lines = adapter.fleet(spark, sf_dir).select(damaged.alias("value"))
+    # Each file begins with a header.
+    lines.write.option("header", "true").option("quote", "\u0000").option("sep", "\t").csv(path)
+    read = read_fleet(spark, path, malformed="tx_linha")
+    return rejected_lines(read, "tx_linha").drop("nm_arquivo")
+
+
 def full_load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table created by a full load, loaded again from itself, then overwritten with one more
     column. Schema and table are gone in the end; what is returned is a scan of the files."""
@@ -347,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "years_replaced": years_replaced,
     "year_filter": year_filter,
     "municipality_csv_load": municipality_csv_load,
+    "rejected_csv_lines": rejected_csv_lines,
     "full_load_tables": full_load_tables,
     "consolidated_files": consolidated_files,
     "uf_lookup": uf_lookup,

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from autostrata.plans import jobs
+from autostrata.sources import tables
 from autostrata.sources import (
     consolidate,
     file_headers,
@@ -186,6 +187,46 @@ def test_failed_load_leaves_the_table(spark, layer):
     assert spark.table(table).count() == 3
 
 
+@pytest.mark.parametrize("step", ["aside", "fresh"])
+def test_load_that_fails_between_the_steps_keeps_the_old_table(spark, layer, monkeypatch, step):
+    table = f"{layer}.carga"
+    full_load(spark.range(3), table)
+    rename, broken = tables._rename, []
+
+    def failing(session, old, new):
+        if (new if step == "aside" else old).endswith(("__anterior", "__carga")) and not broken:
+            broken.append(old)
+            raise RuntimeError("no metastore")
+        rename(session, old, new)
+
+    monkeypatch.setattr(tables, "_rename", failing)
+    with pytest.raises(RuntimeError, match="no metastore"):
+        full_load(spark.range(7), table)
+    assert spark.table(table).count() == 3
+    assert [t.name for t in spark.catalog.listTables(layer)] == ["carga"]
+    assert full_load(spark.range(7), table).count() == 7
+
+
+def test_load_whose_driver_died_is_undone_by_the_next(spark, layer):
+    table = f"{layer}.carga"
+    full_load(spark.range(3), table)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__anterior")
+    spark.range(1).write.saveAsTable(f"{table}__carga")
+    tables.recover_load(spark, table)
+    assert spark.table(table).count() == 3
+    assert [t.name for t in spark.catalog.listTables(layer)] == ["carga"]
+
+
+def test_external_load_keeps_one_folder(spark, layer, tmp_path):
+    table, path = f"{layer}.carga", str(tmp_path / "ext")
+    full_load(spark.range(3), table, path=path)
+    again = full_load(spark.table(table).union(spark.range(9, 10)), table, path=path)
+    assert sorted(r.id for r in again.collect()) == [0, 1, 2, 9]
+    assert len(list((tmp_path / "ext").iterdir())) == 1
+    spark.sql(f"DROP TABLE {table}")
+    assert spark.read.parquet(f"{path}/*").count() == 4
+
+
 def _month_files(root):
     for year, name, text in (
         ("2024", "a+b_Abril_2024.csv", "x,y\n1,2\n"),

@@ -28,17 +28,24 @@ def test_strip_accents_cases(spark):
 
 
 def test_strip_accents_over_all_letters(spark):
-    """Equal to the definition for every letter and mark that has a one-letter image or none."""
+    """Equal to the definition for every assigned code point, Hangul and compound signs included."""
     letters = [
         char
-        for char in map(chr, [*range(0x20, 0x3100), *range(0xF900, 0x12000), 0x1E944, 0x2F800])
-        if unicodedata.category(char) not in ("Cn", "Cs", "Co") and len(_by_definition(char)) <= 1
+        for char in map(chr, [*range(0x20, 0xD800), *range(0xF900, 0x20000), *range(0x2F800, 0x2FA20)])
+        if unicodedata.category(char) not in ("Cn", "Cs", "Co")
     ]
-    words = ["".join(letters[i : i + 500]) for i in range(0, len(letters), 500)]
-    assert len(words) > 20
+    words = ["".join(f"{c}a" for c in letters[i : i + 500]) for i in range(0, len(letters), 500)]
+    assert len(words) > 100
     assert _apply(spark, strip_accents, words) == [_by_definition(w) for w in words]
 
 
+def test_strip_accents_of_hangul_and_compound_signs(spark):
+    given_ = ["한국 Seoul", "각", "\u0958", "\u09cb x", "\U0001d15e", "ㄱ é"]
+    assert _apply(spark, strip_accents, given_) == [_by_definition(t) for t in given_]
+    df = spark.createDataFrame([("한",)], "v string").select(strip_accents("v"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
