@@ -29,6 +29,9 @@ MISS = 1e-6
 KEPT_BITS = 2
 STAR_ROUNDS = 3
 FILTER_BITS = 26
+# Sets of fewer shingles are compared in full, without an estimate: minima of so few shingles do not
+# agree independently of each other.
+LEAST_ESTIMATED = 64
 
 _CHUNK = 1 << 16
 # Places of the parity bits.
@@ -68,9 +71,15 @@ class Signer:
         sums = (parts * self.weights[:, :, None]).sum(axis=1, dtype=np.uint64)
         return mix(sums + self.salts[:, None]).T
 
+    def kept(self, minima: np.ndarray) -> np.ndarray:
+        """The kept bits of each minimum. It is scrambled before: the low bits of two minima as they
+        are agree for all permutations or for none."""
+        return _scrambled(minima + self.flips[:, None]) & np.uint32(2**self.kept_bits - 1)
+
     def planes(self, minima: np.ndarray) -> np.ndarray:
         """For each set (row) the kept bits of its minima, plane after plane, in 64-bit words."""
         count = minima.shape[1]
+        minima = self.kept(minima)
         words = -(-len(self.flips) // 64)
         out = np.zeros((count, self.kept_bits, words * 64), np.uint8)
         for bit in range(self.kept_bits):
@@ -78,6 +87,13 @@ class Signer:
         return np.packbits(out, axis=2).reshape(count, -1).view(np.int64)
 
 
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """32-bit values mixed one to one."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
+    return x ^ (x >> np.uint32(16))
+
+
 def parities(sets: list[np.ndarray]) -> np.ndarray:
     """For each set (row), in 64-bit words, whether an odd number of shingles falls on each of
     ``_PARITIES`` places: two sets differ in no fewer shingles than in such bits."""
@@ -166,14 +182,16 @@ def near_duplicates(
     Documents with equal sets are one node, found by a 128-bit sum over the set, so copies cost
     nothing below. Nodes that share a band of six minima are candidates; the number of bands makes
     a link at the threshold fail to become one with probability one in a million. A candidate pair
-    goes on if the low two bits of its minima agree often enough (``estimate_floor``) and is then
-    confirmed on the full sets.
+    goes on if its similarity, estimated from the two bits kept of each minimum and corrected for
+    bits that agree by chance, is high enough (``least_estimate``), or if a set is too small for an
+    estimate; it is then confirmed on the full sets.
 
     Only connections count, so a bucket's pairs are not written out: in each of a few rounds every
     node of a bucket meets one hub of that bucket, unless both are in one component already; the
-    hub changes from round to round. Pairs of a bucket that lie in different components after
-    that and have not met do meet in a last round, all but those whose sizes, unshared shingles
-    and parity bits rule a link out (``_Links.possible``), so no link is lost.
+    hub changes from round to round, and buckets that lie in one component drop out. Pairs of the
+    buckets left over that lie in different components meet in a last round, all but those whose
+    sizes, unshared shingles and parity bits rule a link out (``_Links.possible``), so no link is
+    lost.
 
     NULL texts are empty; a document without words has size 0, is linked with nothing and is its
     own component. Rows with equal texts are linked whatever their ids. NULL ids are
@@ -251,7 +269,7 @@ class _Links:
     def __init__(self, nodes: DataFrame, sets: DataFrame, similarity: float, signer: Signer):
         self.nodes, self.sets, self.signer = nodes, sets, signer
         self.least = Fraction(similarity).limit_denominator(10_000)
-        self.floor = estimate_floor(similarity, len(signer.flips))
+        self.floor = least_estimate(similarity, len(signer.flips), signer.kept_bits)
 
     def possible(self, rest: DataFrame) -> DataFrame:
         """Pairs (``node``, ``other``) of one bucket, in different components, that their sizes
@@ -322,8 +340,9 @@ class _Links:
         return (total - differing) * (top + bottom) >= total * (2 * top)
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (``a``, ``b``) whose similarity is high enough."""
+        """Those of the pairs (``a``, ``b``, and other columns) whose similarity is high enough."""
         top, bottom = self.least.numerator, self.least.denominator
+        kept = pairs.columns
         for side in "ab":
             columns = [F.col(c).alias(f"{c}_{side}") for c in ("n_shingles", "planes")]
             pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *columns), side)
@@ -331,8 +350,13 @@ class _Links:
         large = F.greatest("n_shingles_a", "n_shingles_b")
         likely = pairs.where(small * bottom >= large * top)
         likely = likely.where(self._may_share(small + large, "planes_a", "planes_b"))
-        likely = likely.where(_agreements("planes_a", "planes_b", self.signer) >= self.floor)
-        likely = likely.select("a", "b", (small + large).alias("total"))
+        estimate = estimated_similarity(
+            _agreements("planes_a", "planes_b", self.signer),
+            len(self.signer.flips),
+            self.signer.kept_bits,
+        )
+        likely = likely.where((small < LEAST_ESTIMATED) | (estimate >= self.floor))
+        likely = likely.select(*kept, (small + large).alias("total"))
         for side in "ab":
             one = self.sets.select(
                 F.col("node").alias(side), F.col("shingles").alias(f"shingles_{side}")
@@ -343,8 +367,7 @@ class _Links:
         return (
             likely.withColumn("common", common)
             .where(F.col("common") * bottom >= (F.col("total") - F.col("common")) * top)
-            .select("a", "b")
-            .distinct()
+            .select(*kept)
         )
 
 
@@ -361,15 +384,12 @@ def _agreements(a: str, b: str, signer: Signer):
     return F.lit(len(signer.flips)) - differing
 
 
-def estimate_floor(similarity: float, minima: int) -> int:
-    """Fewest agreeing minima of a pair that may reach ``similarity``: five standard deviations
-    below the expected number of equal minima.
-
-    No agreement by chance is counted on: the low bits of two shingles agree in all permutations
-    or in none, so sets that differ in few shingles may have no such agreement at all.
-    """
-    share = similarity
-    return math.floor(minima * share - 5 * math.sqrt(minima * share * (1 - share)))
+def least_estimate(similarity: float, minima: int, kept_bits: int) -> float:
+    """The estimate below which a pair is given up: five standard deviations of the estimate below
+    ``similarity``."""
+    chance = 0.5**kept_bits
+    agree = similarity + (1 - similarity) * chance
+    return similarity - 5 * math.sqrt(agree * (1 - agree) / minima) / (1 - chance)
 
 
 def estimated_similarity(agreements, minima: int, kept_bits: int):
@@ -379,16 +399,17 @@ def estimated_similarity(agreements, minima: int, kept_bits: int):
 
 
 def _components(members: DataFrame, links: _Links) -> DataFrame:
-    """``node`` and ``root`` of all linked nodes, from the buckets' members (``key``, ``node``)."""
-    empty = members.sparkSession.createDataFrame([], "a binary, b binary")
-    edges = met = empty
-    roots = empty.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    """``node`` and ``root`` of all linked nodes, from the buckets' members (``key``, ``node``).
+
+    A round's links join components, not nodes: their roots are connected, and the result replaces
+    the roots in the buckets that go on and in what was found before.
+    """
+    empty = members.sparkSession.createDataFrame([], "node binary, root binary")
+    roots = empty
+    going = members.select("key", "node", F.col("node").alias("root"))
     for turn in range(STAR_ROUNDS + 1):
-        current = members.join(roots, "node", "left").select(
-            "key", "node", F.coalesce("root", "node").alias("root")
-        )
         hubs = (
-            current.groupBy("key")
+            going.groupBy("key")
             .agg(
                 F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")).alias("hub"),
                 F.min("root").alias("lo"),
@@ -400,25 +421,36 @@ def _components(members: DataFrame, links: _Links) -> DataFrame:
         hubs, undecided = materialize_counted(hubs, "hubs")
         if not undecided:
             break
-        if turn < STAR_ROUNDS:
-            meeting = current.join(hubs, "key").where("root <> other_root")
-        else:
-            rest = materialize(current.join(hubs, "key", "left_semi"), "rest")
-            meeting = links.possible(rest)
-        pairs = (
-            meeting.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-            .distinct()
-            .join(met, ["a", "b"], "left_anti")
+        going = materialize(going.join(hubs, "key"), "undecided")
+        rest = going.select("key", "node", "root")
+        met = going.where("root <> other_root") if turn < STAR_ROUNDS else links.possible(rest)
+        one, other = F.struct("node", "root"), F.struct(
+            F.col("other").alias("node"), F.col("other_root").alias("root")
         )
-        pairs = materialize(pairs, "pairs")
+        pairs = met.select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y"))
+        pairs = pairs.distinct().select(
+            F.col("x.node").alias("a"), F.col("y.node").alias("b"),
+            F.col("x.root").alias("root_a"), F.col("y.root").alias("root_b"),
+        )
         found, count = materialize_counted(links.confirmed(pairs), "links")
-        met = met.union(pairs)
+        going = rest
         if count:
-            edges = edges.union(found)
-            roots = connected_components(edges)
+            joined = found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+            merged = connected_components(joined.distinct())
+            roots = materialize(_replaced(roots, merged).union(
+                merged.join(roots.select("node"), "node", "left_anti")
+            ), "merged")
+            going = _replaced(rest, merged)
     return roots
 
 
+def _replaced(rooted: DataFrame, merged: DataFrame) -> DataFrame:
+    """``rooted`` with its roots replaced by those that ``merged`` gives them."""
+    new = merged.select(F.col("node").alias("root"), F.col("root").alias("_new"))
+    columns = [F.coalesce("_new", "root").alias("root") if c == "root" else c for c in rooted.columns]
+    return rooted.join(new, "root", "left").select(*columns)
+
+
 def keep_one(
     docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = 0.8, **options
 ) -> DataFrame:

@@ -223,6 +223,37 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op6_minhash": """
+        WITH RECURSIVE word AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'
+            ), lambda w: w <> '') AS words
+            FROM documents
+        ), shingle AS (
+            SELECT DISTINCT doc_id, words[i + 1 : i + 5] AS s
+            FROM (SELECT *, unnest(range(greatest(len(words) - 4, 1))) AS i FROM word WHERE len(words) > 0)
+        ), sized AS (
+            SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id
+            GROUP BY ALL
+        ), link AS (
+            SELECT common.a, common.b
+            FROM common JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+            WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+        ), both_ways AS (
+            SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT doc_id, b FROM reach JOIN both_ways ON other = a
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        LEFT JOIN sized USING (doc_id)
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

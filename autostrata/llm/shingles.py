@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 # Upper-case ASCII becomes lower case and the six blank characters become a space.
@@ -13,6 +15,9 @@ _LETTER = _RANDOM.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = int(_RANDOM.integers(1, 2**62, dtype=np.uint64)) * 8 + 5
 _UNBASE = pow(_BASE, -1, 2**64)
 _PIECE = 1 << 20
+# A polynomial modulo 2**64 takes certain long words for equal, the shorter the less likely: words
+# beyond this many bytes are hashed by what follows instead of themselves.
+LONG_WORD = 32
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -33,8 +38,17 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def fold(text: bytes) -> bytes:
-    """The words of a UTF-8 text, ASCII in lower case, with one space between them."""
-    return b" ".join(text.translate(_FOLD).split())
+    """The words of a UTF-8 text, ASCII in lower case, with one space between them; a digest stands
+    for each long word."""
+    words = text.translate(_FOLD).split()
+    if words and max(map(len, words)) > LONG_WORD:
+        words = [w if len(w) <= LONG_WORD else _digest(w) for w in words]
+    return b" ".join(words)
+
+
+def _digest(word: bytes) -> bytes:
+    """NUL and 128 bits in letters."""
+    return b"\0" + hashlib.blake2b(word, digest_size=16).hexdigest().encode()
 
 
 def _windows(words: bytes, size: int) -> np.ndarray:

@@ -91,7 +91,8 @@ def test_bit_counts_estimate_similarity():
     planes = signer.planes(minima).view(np.uint64).reshape(2, signer.kept_bits, -1)
     differing = np.bitwise_count(np.bitwise_or.reduce(planes[0] ^ planes[1], axis=0)).sum()
     agreements = len(signer.flips) - int(differing)
-    assert agreements == (minima[:, 0] % 4 == minima[:, 1] % 4).sum()
+    kept = signer.kept(minima)
+    assert agreements == (kept[:, 0] == kept[:, 1]).sum()
     assert abs(estimated_similarity(agreements, len(signer.flips), 2) - 900 / 1100) < 0.12
     assert (1 - 0.8**6) ** bands_for(0.8) <= 1e-6
 
@@ -102,15 +103,37 @@ def test_components_of_a_chain(spark):
     assert roots == {**{i: 1 for i in range(1, 41)}, 50: 50, 51: 50}
 
 
-@pytest.mark.parametrize("similarity,sizes", [(0.8, [(4, 5), (8, 10), (16, 20)]), (0.85, [(6, 7), (17, 20)])])
-def test_short_documents_at_the_threshold_pass_the_estimate(similarity, sizes):
+@pytest.mark.parametrize("similarity,size", [(0.8, 80), (0.8, 320), (0.85, 200)])
+def test_pairs_at_the_threshold_pass_the_estimate(similarity, size):
+    """Pairs of sets with just that similarity, the smaller of at least the estimated size."""
     random = np.random.default_rng(5)
     signer = Signer(bands_for(similarity))
-    floor = minhash.estimate_floor(similarity, len(signer.flips))
-    for a, b in sizes:
-        sets = [s for s in random.integers(0, 2**63, (5000, b), dtype=np.uint64) for s in (s[:a], s)]
-        low = signer.minima(sets) & 3
-        assert (low[:, 0::2] == low[:, 1::2]).sum(axis=0).min() >= floor
+    least = minhash.least_estimate(similarity, len(signer.flips), signer.kept_bits)
+    part = round(similarity * size)
+    sets = [s for s in random.integers(0, 2**63, (3000, size), dtype=np.uint64) for s in (s[:part], s)]
+    assert part >= minhash.LEAST_ESTIMATED
+    kept = signer.kept(signer.minima(sets))
+    agreements = (kept[:, 0::2] == kept[:, 1::2]).sum(axis=0)
+    estimates = estimated_similarity(agreements, len(signer.flips), signer.kept_bits)
+    assert estimates.min() >= least
+    assert abs(estimates.mean() - part / size) < 0.01
+    # Sets with nothing in common agree by chance alone.
+    unlike = estimated_similarity(
+        (kept[:, 0:-2:2] == kept[:, 2::2]).sum(axis=0), len(signer.flips), signer.kept_bits
+    )
+    assert abs(unlike.mean()) < 0.01 and unlike.max() < least
+
+
+def test_words_that_a_polynomial_takes_for_equal():
+    """The two Thue-Morse words of 1,024 letters, as one word and cut up alike into many."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    first, second = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    for width in (1024, 200, 40):
+        texts = [
+            " ".join(t[i : i + width] for i in range(0, 1024, width)).encode() for t in (first, second)
+        ]
+        a, b = map(shingles.shingle_set, texts)
+        assert not set(a.tolist()) & set(b.tolist())
 
 
 def test_each_node_has_one_set(spark, monkeypatch):
