@@ -49,6 +49,8 @@ def exact_groups(
 
     profile = materialize(docs.select(length, prefix), "profile")
     lengths = profile.groupBy("_length").agg(F.count("*").alias("_n")).where("_n > 1")
+    # Written, so that the semi join shuffles its two sides by itself and can split a hot length.
+    lengths = materialize(lengths.select("_length"), "lengths")
     suspects = (
         profile.join(lengths, "_length", "left_semi")
         .groupBy("_length", "_prefix")
