@@ -181,13 +181,16 @@ class PositionalIndex:
             .distinct()
         )
         terms = self.items.select("item", "item_id", F.posexplode("words").alias("place", "term"))
-        near = F.exists("positions", lambda p: F.abs(p - F.col("place") - F.col("shift")) <= slop)
-        here = F.array_contains("positions", F.col("place") + F.col("shift"))
-        found = (
-            wanted.join(terms, ["item", "place"])
-            .join(self.postings, ["row", "term"])
-            .where(near if slop else here)
+        probes = wanted.join(terms, ["item", "place"]).withColumn(
+            "position", F.col("place") + F.col("shift")
         )
+        # The lists in question, a row for each position that a word at most slop away may have.
+        asked = probes.select("row", "term").distinct()
+        near = F.flatten(F.transform("positions", lambda p: F.sequence(p - slop, p + slop)))
+        listed = self.postings.join(asked, ["row", "term"], "left_semi").select(
+            "row", "term", F.explode(F.array_distinct(near) if slop else "positions").alias("position")
+        )
+        found = probes.join(listed, ["row", "term", "position"])
         order = Window.partitionBy("item", "row", "shift").orderBy("place")
         island = F.col("place") - F.row_number().over(order)
         return (
@@ -208,26 +211,21 @@ class PositionalIndex:
         ``distance``, and the ``starts`` of the item's windows of which they are the rarest.
         Windows with a word that no document has are left out."""
         counts = self.postings.groupBy("term").agg(F.sum(F.size("positions")).alias("n"))
-        words = self.items.select("item", F.posexplode("words").alias("place", "term"))
-        ranked = (
+        size = F.size("words").alias("size")
+        words = self.items.select("item", size, F.posexplode("words").alias("place", "term"))
+        # The words of each window and no more are together, whatever the length of the item.
+        ahead = Window.partitionBy("item").orderBy("place").rowsBetween(0, window - 1)
+        word = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "term")
+        return (
             words.join(counts, "term", "left")
-            .groupBy("item")
-            .agg(F.array_sort(F.collect_list(F.struct("place", F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("words"))
-        )
-        width = F.least(F.lit(window), F.size("words"))
-        windows = ranked.select("item", "words", width.alias("width")).select(
-            "item", "words", "width",
-            F.explode(F.expr("sequence(0, size(words) - width)")).alias("start"),
-        )
-        rarest = F.array_sort(
-            F.transform(
-                F.slice("words", F.col("start") + 1, F.col("width")),
-                lambda w: F.struct(w["n"].alias("n"), w["place"].alias("place"), w["term"].alias("term")),
+            .select(
+                "item",
+                F.least(F.lit(window), "size").alias("width"),
+                F.col("place").alias("start"),
+                "size",
+                F.array_sort(F.collect_list(word).over(ahead)).alias("r"),
             )
-        )
-        return (
-            windows.select("item", "width", "start", rarest.alias("r"))
-            .where("r[0].n > 0")
+            .where("start + width <= size and r[0].n > 0")
             .select(
                 "item",
                 "width",

@@ -83,3 +83,17 @@ def test_rows_that_repeat_an_id_are_told_apart(spark):
     rows = PositionalIndex(docs, bench).contamination().collect()
     assert sorted((r.id or 0, r.n_hit) for r in rows) == [(0, 2), (1, 0), (1, 2)]
     assert [r.text for r in drop_contaminated(docs, bench).collect()] == ["c d"]
+
+
+def test_an_item_of_many_words_and_a_text_that_repeats_a_passage(spark):
+    """Memory and time grow with the number of words, not with its square."""
+    words = [f"w{i % 9000}" for i in range(60_000)]
+    passage = " ".join(words[:12])
+    docs = [(1, " ".join(words)), (2, "x " * 20_000 + passage), (3, f"{passage} sep " * 3000), (4, "clean")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, passage)], "item_id long, text string")
+    got = {r.id: (r.n_words, r.n_hit, r.item_ids) for r in PositionalIndex(frame, bench).contamination().collect()}
+    assert got == {
+        1: (60_000, 60_000, ["1", "2"]), 2: (20_012, 12, ["1", "2"]),
+        3: (13 * 3000, 12 * 3000, ["1", "2"]), 4: (1, 0, []),
+    }
