@@ -31,11 +31,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents by a model that no row of the held-out fourth has shaped."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(toxicity.crc_remainder("doc_id") != 2))
-    return toxicity.score(docs, model).select(
+    scored = toxicity.score(docs.select("doc_id", "text"), model, spans="spans")
+    places = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return scored.select(
         "doc_id",
         (toxicity.crc_remainder("doc_id") == 2).alias("held_out"),
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.array_join(places, ",").alias("offending"),
     )
 
 

@@ -15,6 +15,7 @@ from functools import cached_property
 from math import exp
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from autostrata.llm.common import whole
 from autostrata.staging import materialize
 
-# Bounds of the training sample and of the vocabulary.
+# Bound of the training sample.
 TRAINING_DOCUMENTS = 20_000
-VOCABULARY = 4_096
-EVIDENCE = 25.0
+# Least smoothed odds ratio of a feature's presence in toxic against clean documents. It asks for
+# three to four toxic documents more than chance gives, whatever the number of labels.
+EVIDENCE = 45.0
 
 # Documents that score at least this are called toxic.
 THRESHOLD = 0.3
@@ -93,11 +95,15 @@ def _found(sentence: str, telling: dict[str, list[str]]) -> set[str]:
     return {f for w in words for f in telling[w]}
 
 
-def training_sample(labels: DataFrame, id: str, label: str, bound: int) -> DataFrame:
-    """``id`` and ``label`` (0 or 1) of at most ``bound`` rows, chosen by a hash of the id."""
+def training_sample(
+    labels: DataFrame, docs: DataFrame, id: str, label: str, bound: int
+) -> DataFrame:
+    """``id`` and ``label`` (0 or 1) of at most ``bound`` labels of documents that are there,
+    chosen by a hash of the id."""
     return (
-        labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull())
+        labels.where(F.col(label).isin(0, 1))
         .select(F.col(id).alias("id"), F.col(label).cast("int").alias("label"))
+        .join(docs.select(F.col(id).alias("id")), "id", "left_semi")
         .orderBy(F.xxhash64("id"), "id", "label")
         .limit(bound)
     )
@@ -110,20 +116,20 @@ def fit(
     text: str = "text",
     label: str = "toxic",
     bound: int = TRAINING_DOCUMENTS,
-    vocabulary: int = VOCABULARY,
 ) -> Model:
     """Fit the sentence model from document labels (1 toxic, 0 not).
 
     At most ``bound`` labelled documents are used; they are found by a join with those ids, which
     are few enough to broadcast. Spark counts in how many toxic and clean documents each feature
-    occurs, and keeps the ``vocabulary`` features most tied to toxic ones (chi-square of at least
-    ``EVIDENCE``). Only these features' places in sentences reach the driver, where the
-    likelihood of the document labels is maximised.
+    occurs, and keeps those whose smoothed odds ratio is at least ``EVIDENCE``, a bound that does
+    not depend on the number of labels. Only these features' places in sentences reach the driver,
+    where the likelihood of the document labels is maximised.
 
-    Without labelled documents, or without toxic ones, nothing is known: the score of every text
-    is the share of toxic labels (0 where there are none).
+    A text without evidence has the model's constant score, which stays below half the threshold,
+    so no document is called toxic for lack of knowledge. Without labelled documents, without toxic
+    ones or without telling features every text is such a text (0 where there are no labels).
     """
-    sample = training_sample(labels, id, label, bound)
+    sample = training_sample(labels, docs, id, label, bound)
     texts = docs.select(F.col(id).alias("id"), whole(text).alias("text"))
     # At most ``bound`` short rows.
     labelled = materialize(texts.join(F.broadcast(sample), "id").select("label", "text"), "sample")
@@ -132,36 +138,28 @@ def fit(
     )
     totals = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    prior = toxic / (toxic + clean) if toxic + clean else 0.0
+    prior = min(toxic / (toxic + clean), THRESHOLD / 2) if toxic + clean else 0.0
     if not toxic or not clean:
         return Model({}, 0.0, prior)
-    ranked = (
+    telling = (
         counts.groupBy("feature")
         .agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_clean").alias("in_clean"))
-        .withColumn("evidence", _chi_square("in_toxic", "in_clean", toxic, clean))
-        .where(
-            (F.col("evidence") >= EVIDENCE)
-            & (F.col("in_toxic") * clean > F.col("in_clean") * toxic)
-        )
-        .orderBy(F.desc("evidence"), "feature")
-        .limit(vocabulary)
+        .where(_odds_ratio("in_toxic", "in_clean", toxic, clean) >= EVIDENCE)
     )
-    names = [r["feature"] for r in ranked.select("feature").collect()]
+    names = sorted(r["feature"] for r in telling.select("feature").collect())
+    if not names:
+        return Model({}, 0.0, prior)
     bags = labelled.mapInArrow(
         lambda batches: _sentence_bags(batches, names), "label int, sentences array<array<int>>"
     ).collect()
     return _maximise(names, [(b["label"], b["sentences"]) for b in bags])
 
 
-def _chi_square(a: str, b: str, toxic: int, clean: int) -> Column:
-    """Chi-square of a feature's presence against the label."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    total = F.lit(float(toxic + clean))
-    difference = x * clean - y * toxic
-    margins = F.lit(float(toxic) * clean) * (x + y) * (total - x - y)
-    return F.when(margins > 0, total * difference * difference / margins).otherwise(
-        F.when(difference != 0, total).otherwise(0.0)
-    )
+def _odds_ratio(a: str, b: str, toxic: int, clean: int) -> Column:
+    """Odds of a feature's presence in toxic documents over those in clean ones, half a document
+    added to each number."""
+    x, y = F.col(a) + F.lit(0.5), F.col(b) + F.lit(0.5)
+    return x * (clean + 1 - y) / (y * (toxic + 1 - x))
 
 
 def _document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,22 +224,45 @@ def _maximise(names: list[str], bags: list[tuple[int, list[list[int]]]]) -> Mode
         v = 0.99 * v + 0.01 * gradient**2
         rate = STEP_SIZE * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         theta = theta - rate
-    leak = float(1 / (1 + np.exp(-theta[size + 1])))
+    leak = min(float(1 / (1 + np.exp(-theta[size + 1]))), THRESHOLD / 2)
     return Model(dict(zip(names, map(float, theta[:size]))), float(theta[size]), leak)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+def score(
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    name: str = "score",
+    spans: str | None = None,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
     """``docs`` with a column ``name``: the chance that the whole text is toxic, 0 to 1.
 
-    NULL and empty texts, and texts without a known feature, get the model's constant. ``name``
-    takes the place of a column of that name.
+    NULL and empty texts, and texts without a known feature, get the model's constant. ``spans``
+    names a column for the ``start`` and ``end`` (code points, end exclusive) of the sentences
+    whose own score is at least ``threshold``. Both take the place of columns of their names.
     """
-
-    @F.pandas_udf("double")
-    def scored(texts):
-        return texts.map(model.score)
-
-    return docs.withColumn(name, scored(whole(text)))
+    places = "array<struct<start: bigint, end: bigint>>"
+
+    def scored(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for value in texts:
+            clean, found = 1 - model.leak, []
+            for start, end, p in model.sentences(value):
+                clean *= 1 - p
+                if p >= threshold:
+                    found.append({"start": start, "end": end})
+            rows.append((1 - clean, found))
+        return pd.DataFrame(rows, columns=["score", "spans"])
+
+    judged = F.pandas_udf(scored, f"score double, spans {places}")(whole(text))
+    added = {name: F.col("_judged.score")} | ({spans: F.col("_judged.spans")} if spans else {})
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in added and c != "_judged"]
+    order = [
+        added[c].alias(c) if c in added else F.col(f"`{c}`") for c in docs.columns if c != "_judged"
+    ]
+    new = [value.alias(c) for c, value in added.items() if c not in docs.columns]
+    return docs.select(*others, judged.alias("_judged")).select(*order, *new)
 
 
 def offending_sentences(

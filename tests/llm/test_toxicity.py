@@ -75,6 +75,33 @@ def test_null_empty_and_unlabelled(spark):
     assert toxicity.offending_sentences(docs, Model({"bad": 9.0}, 0.0, 0.0)).count() == 2
 
 
-def test_training_sample_is_bounded(tables):
-    _, labels = tables
-    assert toxicity.training_sample(labels, "doc_id", "toxic", 50).count() == 50
+def test_training_sample_is_bounded_and_has_texts(tables):
+    docs, labels = tables
+    assert toxicity.training_sample(labels, docs, "doc_id", "toxic", 50).count() == 50
+    foreign = labels.selectExpr("doc_id + 100000 AS doc_id", "toxic").union(labels.select("doc_id", "toxic"))
+    assert toxicity.training_sample(foreign, docs, "doc_id", "toxic", 10_000).count() == 500
+
+
+def test_few_labels_tell_toxic_texts_and_clear_the_others(spark):
+    rows = [(i, "what a moron you are" if i < 7 else f"a quiet text number{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 7)) for i in range(20)], "doc_id long, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert min(scores[i] for i in range(7)) >= toxicity.THRESHOLD > max(scores[i] for i in range(7, 20))
+
+
+def test_labels_without_telling_words_call_nothing_toxic(spark):
+    docs = spark.createDataFrame([(i, "the same text") for i in range(10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int")
+    scores = {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert len(scores) == 1 and scores.pop() < toxicity.THRESHOLD
+
+
+def test_spans_of_offending_sentences(tables, model):
+    docs, _ = tables
+    kept = docs.withColumn("spans", docs["label"])
+    rows = toxicity.score(kept, model, spans="spans").collect()
+    listed = {(r.doc_id, s.start, s.end) for r in rows for s in r.spans}
+    found = toxicity.offending_sentences(docs, model).collect()
+    assert listed == {(r.doc_id, r.start, r.end) for r in found} and listed
+    assert [c for c, _ in toxicity.score(kept, model, spans="spans").dtypes] == kept.columns
