@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import exp, log, log1p
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autostrata.llm.common import whole
+from autostrata.llm.common import whole, with_row_key
 
 # Bound of the labelled pages that the model is trained on, and how often a name must occur there.
 TRAINING_PAGES = 4_000
@@ -77,10 +78,11 @@ _P_STOPS = frozenset("td th caption button table html".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.DOTALL,
 )
+_UNENDED = re.compile(r"<!--.*\Z", re.DOTALL)
 _NAMES = re.compile(
     r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE
 )
@@ -193,17 +195,54 @@ def places(blocks: list[Block]) -> Places:
     return Places(bool(declared), inside, holds, barred, aside, below)
 
 
+class _Open:
+    """The open elements of a page, with the places of each tag's among them, so that looking for
+    one takes no walk over the others."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []  # tag, and the block the element belongs to
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, tag: str, block: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, block))
+
+    def cut(self, keep: int) -> list[str]:
+        """Close all elements from place ``keep`` on; their tags."""
+        closed = [tag for tag, _ in self.stack[keep:]]
+        for tag in closed:
+            self.at[tag].pop()
+        del self.stack[keep:]
+        return closed
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the last open element with one of the tags, -1 without one."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def first_after(self, tags: Iterable[str], place: int) -> int | None:
+        """The first place behind ``place`` of an element with one of the tags."""
+        found = []
+        for t in tags:
+            places = self.at.get(t, [])
+            i = bisect_right(places, place)
+            if i < len(places):
+                found.append(places[i])
+        return min(found, default=None)
+
+
 def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     """The block elements of a page, parents first, and its lines of text with their block.
 
     The first block stands for the page. Comments, scripts, styles and other elements without
-    visible text are skipped. Elements left open are closed as browsers do.
+    visible text are skipped. Elements left open are closed as browsers do; a line break is white
+    space. Takes time in proportion to the page, however broken it is.
     """
     blocks = [Block(-1, "html", frozenset())]
     lines: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []  # open elements and the block they belong to
+    elements = _Open()
     parts: list[str] = []
     links = 0
+    unended: set[str] = set()  # tags of which the rest of the page ends none
 
     def flush() -> None:
         line = " ".join("".join(parts).split()) if parts else ""
@@ -220,67 +259,67 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
 
     def close(keep: int) -> None:
         nonlocal current, links
-        if any(tag in BLOCKS for tag, _ in stack[keep:]):
+        closed = elements.cut(keep)
+        if any(tag in BLOCKS for tag in closed):
             flush()
-        links -= sum(tag == "a" for tag, _ in stack[keep:])
-        del stack[keep:]
-        current = stack[-1][1] if stack else 0
+        links -= closed.count("a")
+        current = elements.stack[-1][1] if elements.stack else 0
 
     current, at, end = 0, 0, len(page)
+    last_mark = page.rfind(">")
     while at < end:
-        token = _TOKEN.search(page, at)
+        # No tag ends behind the last mark; what looks like one there is text, but for a comment.
+        token = _TOKEN.search(page, at) if at <= last_mark else _UNENDED.search(page, at)
         if token is None:
             add(page[at:])
             break
         if token.start() > at:
             add(page[at : token.start()])
         at = token.end()
+        if token.re is _UNENDED:
+            continue
         tag = (token.group(2) or token.group(5) or "").lower()
         if not tag:
             continue
         attributes = token.group(3) or token.group(6) or ""
         if token.group(1) or token.group(4):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+            place = elements.last((tag,))
+            if place >= 0:
+                close(place)
             continue
         if tag in RAW or tag in UNSEEN:
             if not attributes.endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
+                stop = None
+                if tag not in unended:
+                    stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
                 if stop:
                     at = page.find(">", stop.start())
                     at = end if at < 0 else at + 1
-                elif tag in RAW:
-                    at = end
+                else:
+                    unended.add(tag)
+                    at = end if tag in RAW else at
             continue
-        if tag == "br" or tag == "hr":
+        if tag == "br":
+            parts.append(" ")
+        if tag == "hr":
             flush()
         if tag in VOID:
             continue
         if tag in BLOCKS:
-            for i in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                if stack[i][0] in _P_STOPS:
-                    break
-                if stack[i][0] == "p":
-                    close(i)
-                    break
+            paragraph = elements.last(("p",))  # which a block ends
+            if paragraph > elements.last(_P_STOPS):
+                close(paragraph)
         if tag in _CLOSES:
             closed, stops = _CLOSES[tag]
-            last = None
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in stops:
-                    break
-                if stack[i][0] in closed:
-                    last = i
-            if last is not None:
-                close(last)
+            place = elements.first_after(closed, elements.last(stops))
+            if place is not None:
+                close(place)
         if tag in BLOCKS:
             flush()
             blocks.append(Block(current, tag, *_names(attributes)))
             current = len(blocks) - 1
         links += tag == "a"
-        stack.append((tag, current))
+        elements.push(tag, current)
     flush()
     for i in range(len(blocks) - 1, 0, -1):
         above = blocks[blocks[i].parent]
@@ -399,13 +438,25 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(pages: DataFrame, html: str = "html", bound: int = TRAINING_PAGES) -> TreeModel:
     """Count potentials on at most ``bound`` pages, chosen by hash, that declare their main part.
 
+    Of equal pages one counts. The pages are chosen by their hashes and read where they are, so no
+    page is sent anywhere.
+
     Spark adds up how often each piece of evidence goes with content, and how often a child is
     content under either kind of parent; what occurs fewer than ``LEAST_COUNT`` times is left out,
     so the driver gets as many rows as there are tags and recurring names. A few names have a
     prior count. Without any labelled page the priors alone decide.
     """
-    sample = pages.select(whole(html).alias("html")).where("html <> ''")
-    sample = sample.orderBy(F.xxhash64("html")).limit(bound)
+    keyed, key = with_row_key(pages.select(F.lit(0).alias("_id"), html), "_id")
+    declaring = keyed.where(F.col(html).rlike(r"(?i)<(?:article|main)[\s/>]"))
+    chosen = (
+        declaring.groupBy(F.xxhash64(html).alias("_hash"))
+        .agg(F.min(key).alias(key))
+        .orderBy("_hash")
+        .limit(bound)
+        .select(key)
+    )
+    # At most ``bound`` short rows.
+    sample = keyed.join(F.broadcast(chosen), key, "left_semi").select(F.col(html).alias("html"))
     counts = (
         sample.mapInArrow(_counts, "seen string, content int, n bigint")
         .groupBy("seen")

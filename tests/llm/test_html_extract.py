@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 
@@ -48,7 +49,7 @@ def test_only_the_article_is_left(spark, model):
 
 def test_references_white_space_and_open_tags(model):
     body = "<h1>A &amp;&eacute;&#x21;</h1><p>a  b\n<b>c</b>d<script>x</script><p>e<br>f<ul><li>g<li>h</ul>"
-    assert h.main_text(_page(body), model) == "A &é!\na b cd\ne\nf\ng\nh"
+    assert h.main_text(_page(body), model) == "A &é!\na b cd\ne f\ng\nh"
 
 
 def test_asides_inside_the_article_go(model):
@@ -137,3 +138,37 @@ def test_many_comments_stay_out(model):
     page = _page(_BODY).replace("<body>", "<body><header><h1>Name of the site</h1></header>")
     page = page.replace("<body>", '<body><div class="cookie-banner"><p>We use cookies on this site.</p></div>')
     assert h.main_text(page, model) == _TEXT
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<script", "<a", "<a b", "<!-- ", "<div>", "<p>", "<table><td><div>", "<ul><li><b>", "<svg>", "<noscript>",
+     "</x>", "<a href='", "<", "&lt", "<i><div>"],
+)
+@pytest.mark.parametrize("tail", ["", "x>"])
+def test_broken_pages_take_linear_time(model, piece, tail):
+    page = _page("<p>Some words.</p>").replace("</article>", piece * (300_000 // len(piece)) + tail)
+    start = time.perf_counter()
+    h.main_text(page, model)
+    assert time.perf_counter() - start < 8
+
+
+def test_one_long_tag(model):
+    start = time.perf_counter()
+    h.main_text(_page("<p>Words.</p><" + "a" * 1_000_000), model)
+    h.main_text(_page("<p>Words.</p><a " + "b=c " * 250_000), model)
+    assert time.perf_counter() - start < 5
+
+
+def test_copies_count_once_and_only_declaring_pages_are_taken(spark, monkeypatch):
+    pages = _pages(spark)
+    others = [(i, "u", f"<html><body><p>text {i}</p></body></html>") for i in range(200, 400)]
+    copies = [(i, "u", _page("<h1>Copy</h1><p>of it</p>")) for i in range(400, 500)]
+    more = pages.union(spark.createDataFrame(others + copies, pages.schema))
+    seen = []
+    monkeypatch.setattr(h, "_model", lambda counts: seen.append(counts))
+    h.fit(pages)
+    h.fit(more)
+    # One page more than before, with one <h1> in its article.
+    first, second = (sum(n for k, (_, n) in c.items() if k.startswith("tag h1 ")) for c in seen)
+    assert second == first + 1
