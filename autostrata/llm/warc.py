@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -25,7 +26,7 @@ from autostrata.staging import materialize, staging_path
 # Fixed value: magic number of the skippable frame that holds a dictionary.
 DICTIONARY_FRAME = 0x184D2A5D
 
-# Bounds of the sample that the dictionary is built from, and its size.
+# Bounds of the sample that the dictionary is built from (payloads, and bytes of each), and its size.
 SAMPLE_RECORDS = 2_000
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
@@ -101,22 +102,32 @@ def frames(data: bytes) -> Iterator[bytes]:
 
 def build_dictionary(
     pages: DataFrame,
+    id: str = "page_id",
+    url: str = "url",
     html: str = "html",
     records: int = SAMPLE_RECORDS,
     size: int = DICTIONARY_BYTES,
 ) -> bytes:
-    """A Zstandard dictionary from at most ``records`` payloads (the first ``SAMPLE_BYTES`` bytes
-    of each, in a record of its own), chosen by hash. Empty if there is too little to learn from."""
-    body = F.coalesce(F.col(html), F.lit(""))
-    sample = (
-        pages.select(body.alias("body"))
-        .where("body <> ''")
-        .orderBy(F.xxhash64("body"))
+    """A Zstandard dictionary from the records of at most ``records`` pages, chosen by hash among
+    those whose payload has 1 to ``SAMPLE_BYTES`` bytes. Empty if there is too little to learn from.
+
+    The pages are chosen by their hashes alone, of equal payloads one; then these pages, a bounded
+    number of bounded size, are collected as they will be archived.
+    """
+    keyed, key = with_row_key(pages.select(id, url, html), id)
+    fitting = keyed.where(F.octet_length(html).between(1, SAMPLE_BYTES))
+    chosen = (
+        fitting.groupBy(F.xxhash64(html).alias("_hash"))
+        .agg(F.max(key).alias(key))
+        .orderBy("_hash")
         .limit(records)
-        .select(F.substring(F.encode("body", "UTF-8"), 1, SAMPLE_BYTES))
+        .select(key)
     )
-    digest = payload_digest(b"")
-    texts = [record("response", "urn:page:0", "", digest, bytes(r[0])) for r in sample.collect()]
+    sample = keyed.join(F.broadcast(chosen), key, "left_semi").select(
+        _name(key).alias("name"), F.col(url).alias("url"), F.col(html).alias("html")
+    )
+    bodies = ((r["name"], r["url"], r["html"].encode()) for r in sample.collect())
+    texts = [record("response", name, address, payload_digest(b), b) for name, address, b in bodies]
     try:
         return zstandard.train_dictionary(size, texts, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -132,7 +143,9 @@ def _write(
     task = TaskContext.get()
     stem = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
     compressor = zstandard.ZstdCompressor(
-        level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        level=LEVEL,
+        write_checksum=True,
+        dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None,
     )
     out, number, size = None, 0, 0
 
@@ -163,12 +176,15 @@ def _records(data: bytes) -> Iterator[pa.RecordBatch]:
     for one in frames(data):
         fields, payload = parse(one)
         revisit = fields["WARC-Type"] == "revisit"
+        digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+        if not revisit and payload_digest(payload) != digest:
+            raise ValueError(f"the payload of {fields['WARC-Record-ID']} is damaged")
         rows.append((
             fields["WARC-Record-ID"][1:-1],
             fields["WARC-Target-URI"],
             fields["WARC-Type"],
             fields["WARC-Refers-To"][1:-1] if revisit else None,
-            fields["WARC-Payload-Digest"].removeprefix("sha1:"),
+            digest,
             None if revisit else payload,
         ))
         size += len(one)
@@ -207,8 +223,8 @@ def write_archives(
     folder. Any file system that pyarrow knows will do.
     """
     spark = pages.sparkSession
-    folder = made(folder or staging_path(spark, "archives"))
-    dictionary = build_dictionary(pages, html)
+    folder = made(spark, folder or staging_path(spark, "archives"))
+    dictionary = build_dictionary(pages, id, url, html)
     keyed, key = with_row_key(pages.select(id, url, html), id)
     body = F.coalesce(F.col(html), F.lit(""))
     rows = keyed.select(
@@ -242,13 +258,15 @@ def write_archives(
     return materialize(written, "manifest")
 
 
-def made(folder: str) -> str:
-    """Make the folder; its URI as pyarrow reads it."""
-    if "://" not in folder:
-        folder = "file://" + folder.removeprefix("file:")
-    fs, root = pyarrow.fs.FileSystem.from_uri(folder)
-    fs.create_dir(root, recursive=True)
-    return folder
+def made(spark: SparkSession, folder: str) -> str:
+    """Make the folder; its URI, with the scheme that Hadoop takes a bare path for."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    folder = fs.makeQualified(path).toString()
+    # Hadoop writes file:/x, pyarrow reads file:///x.
+    return re.sub("^([a-z0-9]+):/(?!/)", r"\1:///", folder)
 
 
 def _name(key: str) -> Column:

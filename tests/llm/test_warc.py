@@ -5,6 +5,8 @@ import hashlib
 import random
 import struct
 
+import pytest
+
 import pyarrow.fs
 import zstandard
 
@@ -79,7 +81,7 @@ def test_empty_table(spark):
 
 
 def test_archives_are_closed_when_large(spark):
-    folder = warc.made(staging_path(spark, "archives"))
+    folder = warc.made(spark, staging_path(spark, "archives"))
     rows = [("urn:a", "u", "text", None), ("urn:b", None, "text", "urn:a"), ("urn:c", "u", "", None)]
     frame = spark.createDataFrame(rows, "name string, url string, html string, keeper string")
     paths = frame.coalesce(1).mapInArrow(_writer(folder), "path string").collect()
@@ -88,6 +90,40 @@ def test_archives_are_closed_when_large(spark):
     assert {k: r.record_type for k, r in records.items()} == {"urn:a": "response", "urn:b": "revisit", "urn:c": "response"}
 
 
+def test_a_damaged_record_is_told(spark):
+    body = b"<html>some page</html>"
+    wrong = warc.record("response", "urn:page:1:x", "u", warc.payload_digest(b"other"), body)
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc._records(struct.pack("<II", warc.DICTIONARY_FRAME, 0) + zstandard.compress(wrong)))
+    good = warc.record("response", "urn:page:1:x", "u", warc.payload_digest(body), body)
+    frame = bytearray(zstandard.ZstdCompressor(level=0, write_checksum=True).compress(good))
+    frame[-1] ^= 1
+    with pytest.raises(zstandard.ZstdError):
+        list(warc._records(struct.pack("<II", warc.DICTIONARY_FRAME, 0) + bytes(frame)))
+
+
+def test_dictionary_is_built_from_true_records(spark, monkeypatch):
+    rows = [(i, f"http://h/{i}", f"<p>page {i}</p>" * 20) for i in range(300)]
+    rows += [(1000 + i, "u", rows[0][2]) for i in range(50)] + [(2000, "u", "x" * 20_000), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    given = []
+    train = zstandard.train_dictionary
+    monkeypatch.setattr(
+        warc.zstandard, "train_dictionary", lambda size, texts, **o: given.extend(texts) or train(size, texts, **o)
+    )
+    assert warc.build_dictionary(pages)
+    parsed = [warc.parse(text) for text in given]
+    assert len(parsed) == 300 and len({payload for _, payload in parsed}) == 300
+    for fields, payload in parsed:
+        assert fields["WARC-Payload-Digest"] == f"sha1:{warc.payload_digest(payload)}"
+        assert any(r[2] and r[2].encode() == payload and r[1] == fields["WARC-Target-URI"] for r in rows)
+
+
+def test_a_bare_folder_gets_hadoops_scheme(spark, tmp_path):
+    assert warc.made(spark, str(tmp_path / "a b")).startswith("file:///")
+    assert (tmp_path / "a b").is_dir()
+
+
 def _writer(folder):
     def write(batches):
         from autostrata.llm import warc as module
