@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -71,6 +73,19 @@ def weak_spans(text: str) -> list[tuple[str, str, int, int]]:
     ]
 
 
+def outside(
+    weak: list[tuple[str, str, int, int]], base: list[tuple[str, int, int]]
+) -> list[tuple[str, str, int, int]]:
+    """The weak spans that do not lie within a base finding, which are given by start."""
+    starts = [start for _, start, _ in base]
+    reach = list(accumulate((end for _, _, end in base), max))
+    return [
+        (kind, role, start, end)
+        for kind, role, start, end in weak
+        if not (i := bisect_right(starts, start)) or reach[i - 1] < end
+    ]
+
+
 def listed(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -90,7 +105,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [{"kind": k, "role": _ROLE_OF_BASE[k], "start": s, "end": e} for k, s, e in base]
             )
             weak.append(
-                [{"kind": k, "role": r, "start": s, "end": e} for k, r, s, e in weak_spans(text)]
+                [
+                    {"kind": k, "role": r, "start": s, "end": e}
+                    for k, r, s, e in outside(weak_spans(text), base)
+                ]
             )
             hashes.append(hashlib.sha256(listed(base).encode()).hexdigest())
             for kind in BASE_KINDS:
@@ -108,6 +126,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+_ROLES = ("identifier", "secret", "endpoint")
+_PLACE = "struct<start: bigint, end: bigint, kind: string>"
+
+
 class SecretScan:
     """Findings in ``docs``, whole texts; NULL texts have none.
 
@@ -141,49 +163,60 @@ class SecretScan:
 
     def links(self) -> DataFrame:
         """Parts with their complements: for each part and each other role the nearest part of
-        that role within the scope (``row``, ``kind``, ``start``, ``end``, ``weak``, ``role``,
-        ``other_kind``, ``other_role``, ``other_start``, ``other_end``).
+        that role within the scope that shares no letter with it (``row``, ``kind``, ``role``,
+        ``start``, ``end``, ``weak``, ``other_role``, ``other_kind``, ``other_start``,
+        ``other_end``).
 
-        An interval join: a document is cut into stretches as long as the scope, a part looks for
-        partners in its own stretch and its two neighbours, and the exact distance decides. Of a
-        stretch only its first and last part of each role can be the nearest to a part of another
-        stretch, and of its own the next before and after, so no pairs of all parts arise.
+        An interval join: a document is cut into stretches as long as the scope, and a part looks
+        for partners that start in its own stretch and its two neighbours. Parts that end before it
+        starts are met in the order of their ends, those that start after its end in the opposite
+        order, and the best of each role so far is carried along, so no pairs of all parts arise.
         """
         parts = self.parts().where("end > start")
-        before = Window.partitionBy("row", "stretch").orderBy("start", "end", "kind")
-        parts = parts.withColumn("stretch", F.floor(F.col("start") / self.scope))
-        # A part of each other role is next to this one in its own stretch, or is the first or
-        # last of its role in a neighbouring stretch.
-        roles = ("identifier", "secret", "endpoint")
-        past = before.rowsBetween(Window.unboundedPreceding, -1)
-        coming = before.rowsBetween(1, Window.unboundedFollowing)
+        stretch = F.floor(F.col("start") / self.scope)
         this = F.struct("start", "end", "kind")
-        inside = parts
-        for role in roles:
-            own = F.when(F.col("role") == role, this)
-            inside = inside.withColumn(f"{role}_before", F.last(own, True).over(past))
-            inside = inside.withColumn(f"{role}_after", F.first(own, True).over(coming))
-        ends = parts.groupBy("row", "stretch", "role").agg(F.min(this).alias("lo"), F.max(this).alias("hi"))
-        pivoted = ends.groupBy("row", "stretch").agg(
-            *(F.max(F.when(F.col("role") == r, F.col("lo"))).alias(f"{r}_lo") for r in roles),
-            *(F.max(F.when(F.col("role") == r, F.col("hi"))).alias(f"{r}_hi") for r in roles),
+        asking = parts.select(
+            "row", stretch.alias("stretch"), F.struct(*parts.columns[1:]).alias("part"),
+            *(F.lit(None).cast(_PLACE).alias(r) for r in _ROLES),
+        )
+        offered = parts.select(
+            "row",
+            F.explode(F.array(*(stretch + shift for shift in (-1, 0, 1)))).alias("stretch"),
+            F.lit(None).cast(asking.schema["part"].dataType).alias("part"),
+            *(F.when(F.col("role") == r, this).alias(r) for r in _ROLES),
+            this.alias("own"),
         )
-        left = pivoted.select("row", (F.col("stretch") + 1).alias("stretch"),
-                              *(F.col(f"{r}_hi").alias(f"{r}_left") for r in roles))
-        right = pivoted.select("row", (F.col("stretch") - 1).alias("stretch"),
-                               *(F.col(f"{r}_lo").alias(f"{r}_right") for r in roles))
-        near = inside.join(left, ["row", "stretch"], "left").join(right, ["row", "stretch"], "left")
-        choices = F.explode(
-            F.array(
-                *(
-                    F.struct(F.lit(role).alias("role"), F.col(f"{role}_{side}").alias("part"))
-                    for role in roles
-                    for side in ("before", "after", "left", "right")
+        sides = []
+        for asked_at, offered_at, best, order in (
+            ("start", "end", F.max, F.asc),
+            ("end", "start", F.min, F.desc),
+        ):
+            # At one place, what is offered comes before what is asked.
+            first = 0 if order is F.asc else 1
+            events = asking.select(
+                "row", "stretch", "part", *_ROLES, F.col(f"part.{asked_at}").alias("at"),
+                F.lit(1 - first).alias("turn"),
+            ).union(
+                offered.select(
+                    "row", "stretch", "part", *_ROLES, F.col(f"own.{offered_at}").alias("at"),
+                    F.lit(first).alias("turn"),
                 )
+            )
+            met = (
+                Window.partitionBy("row", "stretch")
+                .orderBy(order("at"), order("turn"))
+                .rowsBetween(Window.unboundedPreceding, -1)
+            )
+            found = events.select("row", "part", *(best(r).over(met).alias(r) for r in _ROLES))
+            choices = F.array(
+                *(F.struct(F.lit(r).alias("role"), F.col(r).alias("part")) for r in _ROLES)
+            )
+            sides.append(
+                found.where("part is not null").select("row", "part.*", F.explode(choices).alias("other"))
             )
-        )
         pairs = (
-            near.select("row", "kind", "role", "start", "end", "weak", choices.alias("other"))
+            sides[0]
+            .union(sides[1])
             .where("other.part is not null and other.role <> role")
             .withColumn("distance", F.abs(F.col("start") - F.col("other.part.start")))
             .where(F.col("distance") <= self.scope)
@@ -205,8 +238,8 @@ class SecretScan:
         ``spans``: all base findings and the accepted weak ones, ``kind:start:end``, by start.
 
         A weak secret needs an identifier near by, a weak identifier a secret, and a weak endpoint
-        both; a partner that is weak itself counts. Spans that lie within a base finding are left
-        out, as it reports them already.
+        both; a partner that is weak itself counts. Weak spans within a base finding take no part,
+        neither as a finding, which the base one reports already, nor as a partner.
         """
         links = self.links().where("weak").groupBy("row", "kind", "role", "start", "end").agg(
             F.collect_set("other_role").alias("near")
@@ -229,17 +262,12 @@ class SecretScan:
                 s["end"].alias("end"),
             ),
         )
-        extra = F.filter(
-            F.transform(
-                F.coalesce("accepted", F.array()),
-                lambda s: F.struct(
-                    s["start"].alias("start"),
-                    F.concat(F.lit("9"), s["kind"]).alias("kind"),
-                    s["end"].alias("end"),
-                ),
-            ),
-            lambda s: ~F.exists(
-                "strong", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])
+        extra = F.transform(
+            F.coalesce("accepted", F.array()),
+            lambda s: F.struct(
+                s["start"].alias("start"),
+                F.concat(F.lit("9"), s["kind"]).alias("kind"),
+                s["end"].alias("end"),
             ),
         )
         spans = F.transform(

@@ -3,8 +3,9 @@
 import hashlib
 import random
 import re
+import time
 
-from autostrata.llm.credentials import SecretScan, base_spans
+from autostrata.llm.credentials import SCOPE, SecretScan, base_spans, weak_spans
 
 ASSIGN = re.compile(
     r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
@@ -62,3 +63,56 @@ def test_empty_table_and_long_text(spark):
     assert _scan(spark, []) == {}
     row = _scan(spark, [(1, "a" * 300_000 + "@" * 10 + " =" * 1000)])[1]
     assert (row.n_assign, row.n_access, row.n_hex) == (0, 0, 1)
+
+
+def test_parts_do_not_complete_themselves(spark):
+    key = "AKIA" + "A1B2C3D4" * 3
+    rows = [
+        (1, "login: Zx9" + "aB3" * 10), (2, f"{key} https://x.example/a"), (3, f"{key} user: bob99"),
+        (4, "https://user.example/?x=Zx9" + "aB3" * 10), (5, f"{key} pw Zx9{'aB3' * 10} https://x.example/a"),
+    ]
+    found = {i: r.spans for i, r in _scan(spark, rows).items()}
+    assert found[1] == "" and found[4] == ""
+    assert found[2] == found[3] == f"access:0:{len(key)}"
+    assert [s.split(":")[0] for s in found[5].split(",")] == ["access", "random", "url"]
+
+
+def _linked(text):
+    """All spans of a text by comparing all parts with all."""
+    base = base_spans(text)
+    roles = {"assign": "secret", "access": "identifier", "hex": "secret"}
+    parts = [(k, roles[k], s, e, False) for k, s, e in base]
+    parts += [
+        (k, r, s, e, True) for k, r, s, e in weak_spans(text)
+        if not any(bs <= s and be >= e for _, bs, be in base)
+    ]
+    needs = {"secret": {"identifier"}, "identifier": {"secret"}, "endpoint": {"identifier", "secret"}}
+    kept = list(base)
+    for kind, role, start, end, weak in parts:
+        near = {r for _, r, s, e, _ in parts if (e <= start or s >= end) and abs(s - start) <= SCOPE}
+        if weak and needs[role] <= near - {role}:
+            kept.append((kind, start, end))
+    rank = {k: i for i, k in enumerate(("assign", "access", "hex"))}
+    kept.sort(key=lambda s: (s[1], str(rank.get(s[0], 9)) + s[0], s[2]))
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in kept)
+
+
+def test_links_equal_a_comparison_of_all_parts(spark):
+    rng = random.Random(9)
+    pieces = [
+        "user: bob99", "login=Zx9aB3aB3aB3aB3aB3aB3", "a.b@c.example", "Zx9aB3aB3aB3aB3aB3aB3aB3", "password: hunter2x",
+        "AKIA" + "Q" * 16, "deadbeef" * 3, "https://h.example/p?u=Zx9aB3aB3aB3aB3aB3aB3", "host=db1.local", "far " * 50,
+        "user=a.b@c.example", "region: Zx9aB3aB3aB3aB3aB3aB3aB3", "x", "far " * 101,
+    ]
+    texts = [" ".join(rng.choices(pieces, k=rng.randint(0, 25))) for _ in range(300)]
+    found = _scan(spark, list(enumerate(texts)))
+    assert {i: found[i].spans for i in range(300)} == {i: _linked(t) for i, t in enumerate(texts)}
+    assert sum(len(r.spans.split(",")) for r in found.values()) > 1000
+
+
+def test_a_text_full_of_secrets_takes_linear_time(spark):
+    text = "user: bob99 password = hunter2x Zx9aB3aB3aB3aB3aB3aB3aB3 " * 20_000
+    start = time.perf_counter()
+    row = _scan(spark, [(1, text)])[1]
+    assert row.n_assign == 20_000 and row.spans.count(",") == 3 * 20_000 - 1
+    assert time.perf_counter() - start < 60
