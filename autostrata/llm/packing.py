@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from dataclasses import dataclass, field
-from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,69 +22,95 @@ POOL = 20_000
 
 @dataclass
 class Packer:
-    """Variable-capacity best fit for one pool of pieces.
+    """Variable-capacity best fit for one pool of pieces, which come longest first.
 
-    Pieces come longest first. A piece goes to the open bin with the least room that still holds
-    it, whatever that bin's size. If there is none, a bin is opened whose size costs least for
-    what it is expected to hold: a bin of length L costs L + ``overhead``, and is filled by the
-    piece and by those of the pieces still to come that are no longer than its rest. In the end
-    each bin shrinks to the smallest permitted length that holds its contents.
+    A piece goes to the open bin with the least room that still holds it, whatever that bin's size.
+    If there is none, a bin is opened; in the end each bin shrinks to the smallest permitted length
+    that holds its contents. A bin costs its final length and ``overhead``.
+
+    Which length is opened is planned for the whole pool: one for each class of piece sizes (the
+    permitted lengths, their halves and thirds bound the classes). The plan of least cost that opens
+    a single length is improved class by class, as long as that lowers the cost of the filled
+    pool, so a pool never costs more than with its best single length. Where each length is twice
+    the one before, that is the largest length: any two bins fit into one of the next length.
     """
 
     lengths: tuple[int, ...] = LENGTHS
     overhead: int = OVERHEAD
-    rooms: dict[int, list[int]] = field(default_factory=dict)
-    mask: int = 0
     used: list[int] = field(default_factory=list)
     size: list[int] = field(default_factory=list)
-    # The pieces, shortest first, and the sums of the first 0, 1, 2 ... of them.
-    rising: list[int] = field(default_factory=list)
-    sums: list[int] = field(default_factory=list)
+    plan: tuple[int, ...] = ()
 
     def pack(self, pieces: list[int]) -> list[tuple[int, int]]:
         """Bin and offset of each piece. ``pieces`` is sorted, longest first."""
-        out: list[tuple[int, int]] = []
-        self.rising = pieces[::-1]
-        self.sums = [0, *accumulate(self.rising)]
-        for at, piece in enumerate(pieces, 1):
-            fitting = self.mask >> piece << piece
-            room = (fitting & -fitting).bit_length() - 1 if fitting else -1
-            if room >= 0:
-                bin = self._take(room)
-            else:
-                bin = len(self.used)
-                self.used.append(0)
-                self.size.append(self._cheapest(piece, len(pieces) - at))
-            out.append((bin, self.used[bin]))
-            self.used[bin] += piece
-            self._give(bin)
-        self.size = [self._smallest(n) for n in self.used]
-        return out
-
-    def _smallest(self, n: int) -> int:
-        return self.lengths[bisect_left(self.lengths, n)]
-
-    def _cheapest(self, piece: int, later: int) -> int:
-        """The permitted length of least cost per token expected in it, with ``later`` pieces
-        still to come."""
+        self.plan = self._planned(pieces)
+        places, self.used = self.filled(pieces, self.plan)
+        self.size = [self.smallest(n) for n in self.used]
+        return places
 
-        def cost(n: int) -> float:
-            fitting = min(later, bisect_right(self.rising, n - piece))
-            return (n + self.overhead) / (min(n, piece + self.sums[fitting]) or 1)
+    def bounds(self) -> list[int]:
+        """The largest piece of each class."""
+        return sorted({-(-n // part) for n in self.lengths for part in (1, 2, 3)})
 
-        return min((n for n in self.lengths if n >= piece), key=lambda n: (cost(n), n))
-
-    def _take(self, room: int) -> int:
-        bins = self.rooms[room]
-        bin = bins.pop()
-        if not bins:
-            self.mask &= ~(1 << room)
-        return bin
+    def smallest(self, n: int) -> int:
+        return self.lengths[bisect_left(self.lengths, n)]
 
-    def _give(self, bin: int) -> None:
-        room = self.size[bin] - self.used[bin]
-        self.rooms.setdefault(room, []).append(bin)
-        self.mask |= 1 << room
+    def cost(self, pieces: list[int], plan: tuple[int, ...]) -> int:
+        used = self.filled(pieces, plan)[1]
+        return sum(map(self.smallest, used)) + self.overhead * len(used)
+
+    def _planned(self, pieces: list[int]) -> tuple[int, ...]:
+        bounds = self.bounds()
+        costs: dict[tuple[int, ...], int] = {}
+
+        def cost(plan: tuple[int, ...]) -> int:
+            if plan not in costs:
+                costs[plan] = self.cost(pieces, plan)
+            return costs[plan]
+
+        single = [tuple(max(n, self.smallest(b)) for b in bounds) for n in self.lengths]
+        best = min(single, key=cost)
+        present = sorted({bisect_left(bounds, n) for n in pieces}, reverse=True)
+        while True:
+            before = best
+            for i in present:
+                own = [n for n in self.lengths if n >= bounds[i]]
+                best = min((best, *((*best[:i], n, *best[i + 1 :]) for n in own)), key=cost)
+            if best == before:
+                return best
+
+    def filled(
+        self, pieces: list[int], plan: tuple[int, ...]
+    ) -> tuple[list[tuple[int, int]], list[int]]:
+        """Bin and offset of each piece, and what each bin holds, if bins are opened by ``plan``."""
+        opened: dict[int, int] = {}
+        bounds = self.bounds()
+        rooms: dict[int, list[int]] = {}
+        mask = 0  # the rooms there are, as bits
+        places, used, size = [], [], []
+        for piece in pieces:
+            fitting = mask >> piece << piece
+            if fitting:
+                room = (fitting & -fitting).bit_length() - 1
+                bins = rooms[room]
+                bin = bins.pop()
+                if not bins:
+                    mask &= ~(1 << room)
+            else:
+                bin = len(used)
+                if piece not in opened:
+                    opened[piece] = plan[bisect_left(bounds, piece)]
+                used.append(0)
+                size.append(opened[piece])
+            places.append((bin, used[bin]))
+            used[bin] += piece
+            room = size[bin] - used[bin]
+            if room in rooms:
+                rooms[room].append(bin)
+            else:
+                rooms[room] = [bin]
+            mask |= 1 << room
+        return places, used
 
 
 def words(text: str) -> Column:

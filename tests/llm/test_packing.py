@@ -1,5 +1,6 @@
 """Packing: nothing lost, nothing overlaps, and bins as a plain search would choose them."""
 
+import itertools
 import random
 from collections import defaultdict
 
@@ -8,33 +9,34 @@ from pyspark.sql import functions as F
 from autostrata.llm.packing import Packer, pack
 
 
-def _plain_best_fit(pieces, lengths, overhead):
-    """The same rules, looking at every bin for every piece; of equal rooms the last one made."""
-    bins, left = [], sum(pieces)
+def _plain_best_fit(pieces, lengths, bounds, plan):
+    """What each bin holds, looking at every bin for every piece; of equal rooms the last one used."""
+    bins = []
     for step, piece in enumerate(pieces):
-        left -= piece
         fitting = [(b["size"] - b["used"], -b["step"], i) for i, b in enumerate(bins) if b["size"] - b["used"] >= piece]
         if fitting:
             chosen = bins[min(fitting)[2]]
         else:
-            size = min(
-                (n for n in lengths if n >= piece),
-                key=lambda n: ((n + overhead) / min(n, piece + left or 1), n),
-            )
-            chosen = {"size": size, "used": 0}
+            chosen = {"size": plan[sum(b < piece for b in bounds)], "used": 0}
             bins.append(chosen)
         chosen["used"] += piece
         chosen["step"] = step
-    return sorted(next(n for n in lengths if n >= b["used"]) for b in bins)
+    return [b["used"] for b in bins]
+
+
+def _cost(used, lengths, overhead):
+    return sum(next(n for n in lengths if n >= u) + overhead for u in used)
 
 
-def test_room_taken_is_the_least_that_fits():
+def test_bins_are_filled_as_by_a_plain_search():
     random.seed(1)
     for _ in range(50):
+        lengths = random.choice([(10, 20, 40), (15, 40), (7, 16, 40)])
         pieces = sorted((random.randint(1, 40) for _ in range(60)), reverse=True)
-        packer = Packer((10, 20, 40), 3)
+        packer = Packer(lengths, 3)
         places = packer.pack(pieces)
-        assert sorted(packer.size) == _plain_best_fit(pieces, (10, 20, 40), 3)
+        assert packer.used == _plain_best_fit(pieces, lengths, packer.bounds(), packer.plan)
+        assert packer.size == [next(n for n in lengths if n >= u) for u in packer.used]
         used = defaultdict(int)
         for piece, (bin, offset) in zip(pieces, places):
             assert offset == used[bin]
@@ -42,6 +44,48 @@ def test_room_taken_is_the_least_that_fits():
         assert all(used[b] <= packer.size[b] for b in used)
 
 
+DISTRIBUTIONS = {
+    "lognormal": lambda r: max(1, int(r.lognormvariate(5.6, 1))),
+    "middle": lambda r: r.randint(520, 1000),
+    "halves": lambda r: r.randint(1400, 2040),
+    "small": lambda r: r.randint(200, 900),
+    "wide": lambda r: r.randint(1, 4096),
+}
+
+
+def test_plans_are_never_worse_than_the_best_single_length():
+    random.seed(4)
+    better = set()
+    for lengths in ((512, 1024, 2048, 4096), (600, 1000, 1536), (512, 1280, 3000)):
+        for name, draw in DISTRIBUTIONS.items():
+            pieces = sorted((min(draw(random), lengths[-1]) for _ in range(2000)), reverse=True)
+            packer = Packer(lengths, 64)
+            packer.pack(pieces)
+            single = min(
+                _cost(_plain_best_fit(pieces[:400], lengths, [lengths[-1]], [n]), lengths, 64)
+                for n in lengths if n >= pieces[0]
+            )
+            few = Packer(lengths, 64)
+            few.pack(pieces[:400])
+            assert _cost(few.used, lengths, 64) <= single
+            plans = [tuple(max(n, packer.smallest(b)) for b in packer.bounds()) for n in lengths]
+            least = min(packer.cost(pieces, plan) for plan in plans)
+            assert _cost(packer.used, lengths, 64) <= least
+            better |= {name} if _cost(packer.used, lengths, 64) < least else set()
+    assert len(better) >= 2
+
+
+def test_a_plan_for_two_kinds_of_pieces_is_the_best_of_all():
+    """Pieces of 9 fit a bin of 10, those of 4 one of 16: no single length serves both."""
+    pieces, packer = [9] * 20 + [4] * 60, Packer((10, 16), 3)
+    packer.pack(pieces)
+    bounds = packer.bounds()
+    every = itertools.product(*([n for n in (10, 16) if n >= b] for b in bounds))
+    costs = [_cost(_plain_best_fit(pieces, (10, 16), bounds, plan), (10, 16), 3) for plan in every]
+    assert _cost(packer.used, (10, 16), 3) == min(costs)
+    assert sorted(set(packer.size)) == [10, 16]
+
+
 def test_whole_documents_in_bins(spark):
     random.seed(2)
     rows = [(i, " ".join(["w"] * random.choice((0, 1, 5, 30, 64, 200)))) for i in range(300)]
@@ -80,19 +124,3 @@ def test_one_id_spreads_over_the_pools(spark):
     out = pack(docs, tokens=F.col("n"), lengths=(16, 32), pool=100).groupBy("pool").count().collect()
     assert len(out) == 20 and sum(r["count"] for r in out) == 2000
     assert max(r["count"] for r in out) < 200
-
-
-def test_a_smaller_bin_is_opened_where_nothing_fits_the_rest_of_the_largest():
-    opened = []
-
-    class Watched(Packer):
-        def _give(self, bin):
-            if bin == len(opened):
-                opened.append(self.size[bin])
-            super()._give(bin)
-
-    Watched((16, 20), 3).pack([12] * 50)
-    assert opened == [16] * 50
-    opened.clear()
-    Watched((16, 20), 3).pack([12] * 50 + [8] * 50)
-    assert opened == [20] * 50
