@@ -343,4 +343,78 @@ ORACLE = {
                sha256(coalesce(kept.text, '')) AS collapsed_sha256
         FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op8_decontamination": """
+        WITH item AS (
+            SELECT item_id, list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'
+            ), lambda w: w <> '') AS words
+            FROM benchmark
+        ), part AS (
+            SELECT DISTINCT item_id, least(len(words), 10) AS n, words[i + 1 : i + least(len(words), 10)] AS s
+            FROM (
+                SELECT *, unnest(range(greatest(len(words) - 9, least(len(words), 1)))) AS i FROM item
+            )
+        ), doc AS (
+            SELECT doc_id, coalesce(list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'
+            ), lambda w: w <> ''), []) AS words
+            FROM documents
+        ), place AS (
+            SELECT doc_id, n, i, words[i + 1 : i + n] AS s
+            FROM (
+                SELECT doc_id, words, n, unnest(range(len(words) - n + 1)) AS i
+                FROM doc, (SELECT DISTINCT n FROM part)
+            )
+        ), found AS (
+            SELECT doc_id, i, place.n, item_id FROM place JOIN part ON place.n = part.n AND place.s = part.s
+        ), hit AS (
+            SELECT doc_id, count(*) AS n_hit
+            FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) FROM found) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+    "op10_suffix_dedup": """
+        WITH doc AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n
+            FROM documents
+        ), place AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+            FROM (SELECT *, unnest(range(n - 99)) AS i FROM doc)
+        ), again AS (
+            SELECT doc_id, i FROM (
+                SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM place
+            ) WHERE k > 1
+        ), stretch AS (
+            SELECT doc_id, min(i) AS start, max(i) + 100 AS stop
+            FROM (
+                SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS island
+                FROM (
+                    SELECT *, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS fresh
+                    FROM again
+                )
+            )
+            GROUP BY doc_id, island
+        ), gap AS (
+            SELECT doc_id, start, stop FROM stretch
+        ), kept AS (
+            SELECT doc_id, lag(stop, 1, 0) OVER (PARTITION BY doc_id ORDER BY start) AS start, start AS stop FROM gap
+            UNION ALL
+            SELECT doc_id, coalesce(max(gap.stop), 0), any_value(n) FROM doc LEFT JOIN gap USING (doc_id) GROUP BY doc_id
+        ), text AS (
+            SELECT doc_id, string_agg(substr(h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start) AS h
+            FROM kept JOIN doc USING (doc_id) GROUP BY doc_id
+        ), removed AS (
+            SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans FROM gap GROUP BY doc_id
+        )
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans, sha256(unhex(text.h)) AS kept_sha256
+        FROM doc LEFT JOIN removed USING (doc_id) LEFT JOIN text USING (doc_id)
+    """,
 }

@@ -1,7 +1,10 @@
 """The whole pipeline on planted cases, and the registered queries against SQL or the pipeline."""
 
+import base64
+import hashlib
 import random
 import sys
+import zlib
 from pathlib import Path
 
 import duckdb
@@ -83,7 +86,8 @@ def test_columns_with_clashing_names(spark, planted):
 @pytest.mark.parametrize("name", ORACLE)
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     expected = duck.sql(ORACLE[name])
     got = QUERIES[name](spark, SF_DIR)
     assert sorted(got.columns) == sorted(expected.columns)
@@ -97,3 +101,42 @@ def test_every_document_or_page_has_its_row(spark, name):
     want = sorted(r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect())
     got = sorted(r[0] for r in QUERIES[name](spark, SF_DIR).select(key).distinct().collect())
     assert got == want
+
+
+def _crc(value):
+    return zlib.crc32(str(value).encode())
+
+
+def test_contract_columns_that_sql_leaves_open(spark):
+    """What the queries say of rows beside their decisions, recomputed from the tables."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    pages = {r.page_id: (r.html or "").encode() for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+
+    for r in QUERIES["op1_toxicity"](spark, SF_DIR).collect():
+        assert r.held_out == (_crc(r.doc_id) % 4 == 2) and 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.3)
+
+    placed = QUERIES["op3_sharding"](spark, SF_DIR).collect()
+    slots = {}
+    for r in placed:
+        raw = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32) == (len(raw) + 8, zlib.crc32(raw))
+        assert r.law == "rows" and r.grown_shard is None and 0 <= r.shard < 24
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    counts = [len(slots.get(i, [])) for i in range(24)]
+    assert max(counts) - min(counts) <= 1
+
+    last = {}
+    for page in sorted(pages):
+        last[pages[page]] = page
+    for r in QUERIES["op7_warc"](spark, SF_DIR).collect():
+        raw = pages[r.page_id]
+        assert r.payload_bytes == len(raw)
+        assert r.payload_digest == base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        keeper = last[raw]
+        want = ("response", None) if keeper == r.page_id else ("revisit", keeper)
+        assert (r.record_type, r.refers_to) == want
+
+    for r in QUERIES["op2_html_extraction"](spark, SF_DIR).collect():
+        assert r.n_chars == len(r.text)
