@@ -14,7 +14,7 @@ _RANDOM = np.random.default_rng(20240229)
 _LETTER = _RANDOM.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = int(_RANDOM.integers(1, 2**62, dtype=np.uint64)) * 8 + 5
 _UNBASE = pow(_BASE, -1, 2**64)
-_PIECE = 1 << 20
+_PIECE = 1 << 17
 # A polynomial modulo 2**64 takes certain long words for equal, the shorter the less likely: words
 # beyond this many bytes are hashed by what follows instead of themselves.
 LONG_WORD = 32
