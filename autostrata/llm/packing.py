@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -172,20 +172,24 @@ def pack(
         ]
     )
 
-    def packed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(
-            ["n_tokens", "id", "piece", "tie"], ascending=[False, True, True, True], kind="stable"
+    def packed(table: pa.Table) -> pa.Table:
+        table = table.sort_by(
+            [("n_tokens", "descending"), ("id", "ascending"), ("piece", "ascending"), ("tie", "ascending")]
         )
         packer = Packer(lengths, overhead)
-        places = packer.pack(frame["n_tokens"].tolist())
-        frame["bin"] = [b for b, _ in places]
-        frame["bin_offset"] = [o for _, o in places]
-        frame["bin_length"] = [packer.size[b] for b, _ in places]
-        return frame[[f.name for f in kind]]
+        places = packer.pack(table.column("n_tokens").to_pylist())
+        found = {
+            "bin": [b for b, _ in places],
+            "bin_offset": [o for _, o in places],
+            "bin_length": [packer.size[b] for b, _ in places],
+        }
+        for name, values in found.items():
+            table = table.append_column(name, pa.array(values, pa.int32()))
+        return table.select([f.name for f in kind])
 
     empty = pieces.where("n_tokens = 0").select(
         *full.drop("tie").columns,
         *(F.lit(None).cast(t).alias(c) for c, t in
           (("pool", "bigint"), ("bin", "int"), ("bin_offset", "int"), ("bin_length", "int"))),
     )
-    return dealt.groupBy("pool").applyInPandas(packed, kind).union(empty).withColumnRenamed("id", id)
+    return dealt.groupBy("pool").applyInArrow(packed, kind).union(empty).withColumnRenamed("id", id)

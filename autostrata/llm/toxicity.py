@@ -15,7 +15,6 @@ from functools import cached_property
 from math import exp
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -242,20 +241,24 @@ def score(
     names a column for the ``start`` and ``end`` (code points, end exclusive) of the sentences
     whose own score is at least ``threshold``. Both take the place of columns of their names.
     """
-    places = "array<struct<start: bigint, end: bigint>>"
+    kind = "score double, spans array<struct<start: bigint, end: bigint>>"
 
-    def scored(texts: pd.Series) -> pd.DataFrame:
-        rows = []
+    def scored(texts: pa.Array) -> pa.Array:
+        scores, found = [], []
         for value in texts:
-            clean, found = 1 - model.leak, []
-            for start, end, p in model.sentences(value):
+            clean, places = 1 - model.leak, []
+            for start, end, p in model.sentences(value.as_py()):
                 clean *= 1 - p
                 if p >= threshold:
-                    found.append({"start": start, "end": end})
-            rows.append((1 - clean, found))
-        return pd.DataFrame(rows, columns=["score", "spans"])
+                    places.append({"start": start, "end": end})
+            scores.append(1 - clean)
+            found.append(places)
+        spots = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.StructArray.from_arrays(
+            [pa.array(scores, pa.float64()), pa.array(found, spots)], ["score", "spans"]
+        )
 
-    judged = F.pandas_udf(scored, f"score double, spans {places}")(whole(text))
+    judged = F.arrow_udf(scored, kind)(whole(text))
     added = {name: F.col("_judged.score")} | ({spans: F.col("_judged.spans")} if spans else {})
     others = [F.col(f"`{c}`") for c in docs.columns if c not in added and c != "_judged"]
     order = [
