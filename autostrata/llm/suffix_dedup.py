@@ -1,7 +1,7 @@
 """Removal of long passages that occurred before, by anchors and hash-compared suffix sorting.
 
 Every string of ``width`` bytes has an anchor: of its stretches of ``KEY`` bytes the leftmost with
-the smallest hash. Equal strings have equal anchors at equal places, so they only have to be sought
+the smallest hash, as far as its first bits tell. Equal strings have equal anchors at equal places, so they only have to be sought
 among the strings with the same anchor; and there is one anchor for about thirty bytes of text.
 """
 
@@ -30,6 +30,8 @@ SORTED_TOGETHER = 20_000
 _CHUNK = 1 << 18
 _SLICE = 1 << 17
 _PIECE = 1 << 22
+# Bits that number the places of a chunk, which is shorter than _CHUNK + _PIECE + width.
+_PLACE_BITS = 24
 
 
 class _Anchors:
@@ -51,18 +53,16 @@ class _Anchors:
             self.at = self.low = self.high = self.text = np.empty(0, np.int64)
             self.key = np.empty(0, np.uint64)
             return
-        starts = np.arange(len(letters) - KEY + 1)
-        hashes = mix(self.hashed.hashes(starts, KEY))
-        anchor = _leftmost_minimum(hashes, spans)[:n]
-        owner = np.repeat(np.arange(len(texts)), sizes)[:n]
-        string = np.flatnonzero(np.arange(n) + width <= self.end[owner])
-        anchor, owner = anchor[string], owner[string]
-        new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])))
-        first = np.flatnonzero(new)
+        hashes = mix(self.hashed.all_hashes(KEY))
+        anchor = _leftmost_minimum(hashes, spans)
+        string = np.flatnonzero(np.arange(n) <= np.repeat(self.end - width, sizes)[:n])
+        anchor = anchor[string]
+        # An anchor lies inside its strings, so strings of different texts never share one.
+        first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         self.at = anchor[first]
         self.low = string[first]
         self.high = string[np.append(first[1:], len(string)) - 1]
-        self.text = owner[first]
+        self.text = np.searchsorted(self.end, self.at, "right")
         self.key = hashes[self.at]
 
     def contexts(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,15 +74,16 @@ class _Anchors:
         return begin, end, mix(hashes ^ mix(place + np.uint64(1)))
 
 
-def _leftmost_minimum(values: np.ndarray, span: int) -> np.ndarray:
-    """For each place the place of the leftmost minimum of the next ``span`` values."""
-    best, size = np.arange(len(values)), 1
+def _leftmost_minimum(hashes: np.ndarray, span: int) -> np.ndarray:
+    """For each place the place of the leftmost minimum of the next ``span`` hashes, which count
+    without their last ``_PLACE_BITS`` bits: the place stands there, so that one minimum finds both."""
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    best, size = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
     while size < span:
         shift = min(size, span - size)
-        left, right = best[: len(best) - shift], best[shift:]
-        best = np.where(values[right] < values[left], right, left)
+        best = np.minimum(best[: len(best) - shift], best[shift:])
         size += shift
-    return best
+    return (best & low).astype(np.int64)
 
 
 def _chunks(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[list, list, list]]:

@@ -21,19 +21,30 @@ def powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+# Powers for texts of usual length; longer ones make their own.
+_TABLE = 1 << 19
+_POWER, _UNPOWER = powers(BASE, _TABLE), powers(_UNBASE, _TABLE)
+
+
 class HashedText:
     """Bytes with prefix hashes: ``hashes(starts, sizes)`` of any stretches in constant time each."""
 
     def __init__(self, letters: np.ndarray):
         self.letters = letters
         n = len(letters)
+        short = n < _TABLE
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_LETTER[letters] * powers(BASE, n), out=self.sums[1:])
-        self.undo = powers(_UNBASE, n + 1)
+        np.cumsum(_LETTER[letters] * (_POWER[:n] if short else powers(BASE, n)), out=self.sums[1:])
+        self.undo = _UNPOWER[: n + 1] if short else powers(_UNBASE, n + 1)
 
     def hashes(self, starts: np.ndarray, sizes) -> np.ndarray:
         return (self.sums[starts + sizes] - self.sums[starts]) * self.undo[starts]
 
+    def all_hashes(self, size: int) -> np.ndarray:
+        """``hashes`` of the stretches of ``size`` letters from each place that has as many."""
+        n = len(self.letters) - size + 1
+        return (self.sums[size:] - self.sums[:n]) * self.undo[:n]
+
     def common(self, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
         """Length of the common extension of suffixes at ``a`` and ``b``, at most ``depth``."""
         low = np.zeros(len(a), np.int64)

@@ -66,3 +66,23 @@ def test_common_extension():
     text = HashedText(np.frombuffer(b"banana bandana", np.uint8))
     a, b = np.array([0, 1, 0]), np.array([7, 3, 0])
     assert text.common(a, b, 5).tolist() == [3, 3, 5]
+
+
+def test_leftmost_minimum_goes_by_the_first_bits():
+    near = np.array([5 << 24 | 9, 5 << 24 | 1, 7 << 24], np.uint64)
+    assert suffix_dedup._leftmost_minimum(near, 2).tolist() == [0, 1]
+    hashes = np.random.default_rng(3).integers(0, 40, 500, np.uint64) << np.uint64(58)
+    want = [i + int(np.argmin(hashes[i : i + 61])) for i in range(440)]
+    assert suffix_dedup._leftmost_minimum(hashes, 61).tolist() == want
+
+
+def test_anchors_of_neighbouring_texts():
+    random_ = np.random.default_rng(4)
+    texts = [random_.integers(97, 99, n).astype(np.uint8).tobytes() for n in (0, 99, 250, 0, 100, 0, 300, 40)]
+    texts[6] = b"x" * 300
+    found = suffix_dedup._Anchors(texts, 100)
+    strings = []
+    for at, low, high, text in zip(found.at, found.low, found.high, found.text):
+        assert found.begin[text] <= low <= high <= at <= low + 60
+        strings += [(text, p - found.begin[text]) for p in range(low, high + 1)]
+    assert strings == [(t, p) for t, x in enumerate(texts) for p in range(len(x) - 99)]
