@@ -8,10 +8,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from autostrata.llm.common import whole
+from autostrata.operators.keys import range_key
 from autostrata.staging import materialize
 
 # Fixed rules: fewer words, or a larger percentage of words in repeated windows, fails.
@@ -19,10 +21,10 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 WINDOW = 8
 
-# Labelled rows, chosen by hash, that the forest is grown and its threshold set on.
-TRAINING_ROWS = 20_000
+# Isolation trees, and the rows that the splits of one are drawn from: random ones of all.
 TREES = 200
 TREE_ROWS = 256
+SEED = 13
 
 # Share of the labelled good rows that the threshold may reject.
 MOST_LOST = 0.01
@@ -141,11 +143,10 @@ class Forest(NamedTuple):
     path: np.ndarray
     threshold: float
 
-    def scores(self, features: np.ndarray) -> np.ndarray:
-        """From 0 to 1; short paths, that is high scores, are those of rows unlike the others."""
-        total = np.zeros(len(features))
+    def leaves(self, features: np.ndarray) -> Iterator[np.ndarray]:
+        """Tree by tree the leaf of each row."""
         rows = np.arange(len(features))
-        for feature, split, path in zip(self.feature, self.split, self.path):
+        for feature, split in zip(self.feature, self.split):
             node = np.zeros(len(features), np.int64)
             inner = rows[feature[node] >= 0]
             while len(inner):
@@ -153,18 +154,24 @@ class Forest(NamedTuple):
                 higher = features[inner, feature[at]] >= split[at]
                 node[inner] = 2 * at + 1 + higher
                 inner = inner[feature[node[inner]] >= 0]
+            yield node
+
+    def scores(self, features: np.ndarray) -> np.ndarray:
+        """From 0 to 1; short paths, that is high scores, are those of rows unlike the others."""
+        total = np.zeros(len(features))
+        for path, node in zip(self.path, self.leaves(features)):
             total += path[node]
         return 2.0 ** (-total / max(len(self.feature), 1) / _mean_path(TREE_ROWS))
 
 
-def _mean_path(rows: int) -> float:
+def _mean_path(rows: float) -> float:
     """Mean length of an unsuccessful search in a random binary tree of so many rows."""
     if rows < 2:
         return 0.0
     return 2 * (math.log(rows - 1) + 0.5772156649015329 if rows > 2 else 0.5) - 2 * (rows - 1) / rows
 
 
-def grow(features: np.ndarray, trees: int = TREES, seed: int = 13) -> Forest:
+def grow(features: np.ndarray, trees: int = TREES, seed: int | list[int] = SEED) -> Forest:
     """Isolation trees, each over random rows, split at random values of random features."""
     random = np.random.default_rng(seed)
     height = (TREE_ROWS - 1).bit_length()
@@ -193,7 +200,7 @@ def grow(features: np.ndarray, trees: int = TREES, seed: int = 13) -> Forest:
 def calibrated(forest: Forest, features: np.ndarray, good: np.ndarray) -> Forest:
     """The forest with the threshold that tells bad rows from good ones best, by the sum of the
     shares judged right, among those that reject at most ``MOST_LOST`` of the good rows. Without
-    rows of both kinds nothing is anomalous."""
+    rows of both kinds nothing is anomalous. ``cutoff`` is the same for a table."""
     if not good.any() or good.all():
         return forest
     scores = forest.scores(features)
@@ -212,13 +219,15 @@ def fit(
     labels: DataFrame,
     id: str = "doc_id",
     quality: str = "quality",
-    rows: int = TRAINING_ROWS,
+    rows: int | None = None,
 ) -> Forest:
-    """A forest and its threshold from at most ``rows`` labelled rows of ``statistics``.
+    """A forest and its threshold from all labelled rows of ``statistics``, or from ``rows`` of them.
 
     Labels (1: good) are looked up by id; rows without one, or whose id or label is NULL, teach
-    nothing. Only the labelled rows' counts reach the driver, at most ``rows`` of them. The forest
-    is grown without the labels, on rows that pass the fixed rules; these also set the threshold.
+    nothing. The forest is grown without the labels, on rows that pass the fixed rules; these also
+    set the threshold. The splits of each tree come from ``TREE_ROWS`` random rows, as the method
+    has it, drawn from all; all rows count in the sizes of its leaves and in the threshold. Only
+    the trees, those sizes and the threshold reach the driver.
     """
     known = labels.select(F.col(id).alias("_id"), F.col(quality).cast("int").alias("_good")).dropna()
     once = known.groupBy("_id").agg(F.min("_good").alias("_good"))
@@ -227,17 +236,105 @@ def fit(
         .select(F.col(id).alias("_id"), *_COUNTS)
         .join(once, "_id")
         .select("_good", *_COUNTS, F.xxhash64("_id").alias("_order"))
-        .orderBy("_order", *_COUNTS)
-        .limit(rows)
-        .toPandas()
     )
-    features, good = _features(taught), taught["_good"].to_numpy() == 1
-    return calibrated(grow(features), features, good)
+    if rows is not None:
+        taught = taught.orderBy("_order", *_COUNTS).limit(rows)
+    taught = range_key(taught, "_number", ["_order", *_COUNTS])
+    forest = _sized(_grown(taught), taught)
+    scored = taught.select((F.col("_good") == 1).alias("good"), _anomaly(taught, forest).alias("anomaly"))
+    return forest._replace(threshold=cutoff(scored))
+
+
+def _grown(taught: DataFrame) -> Forest:
+    """Isolation trees, each grown by a task over random rows of those numbered 1, 2, ..."""
+    forest = grow(np.empty((0, 0)))
+    n = taught.count()
+    if not n:
+        return forest
+    random = np.random.default_rng(SEED)
+    size = min(TREE_ROWS, n)
+    chosen = [random.choice(n, size, replace=False) + 1 for _ in range(TREES)]
+    draws = pa.table(
+        {"tree": np.repeat(np.arange(TREES), size), "_number": np.concatenate(chosen)}
+    )
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        tree = int(part["tree"].iloc[0])
+        one = grow(_features(part.sort_values("_number")), 1, [SEED, tree])
+        return pd.DataFrame({"tree": [tree], "feature": [one.feature[0]], "split": [one.split[0]]})
+
+    # As many draws as the trees take rows, whatever the table's size, hence the broadcast.
+    draws = F.broadcast(taught.sparkSession.createDataFrame(draws))
+    trees = taught.join(draws, "_number").groupBy("tree")
+    for row in trees.applyInPandas(run, "tree int, feature array<int>, split array<double>").collect():
+        forest.feature[row.tree], forest.split[row.tree] = row.feature, row.split
+    return forest
+
+
+def _sized(forest: Forest, taught: DataFrame) -> Forest:
+    """The forest with path lengths that go by the share of all rows that end at each leaf."""
+    shared = taught.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ended = np.zeros(shared.value.feature.shape, np.int64)
+        for batch in batches:
+            for tree, node in enumerate(shared.value.leaves(_features(batch))):
+                ended[tree] += np.bincount(node, minlength=ended.shape[1])
+        tree, node = np.nonzero(ended)
+        yield pd.DataFrame({"tree": tree, "node": node, "n": ended[tree, node]})
+
+    ended = taught.select(*_COUNTS).mapInPandas(run, "tree int, node int, n bigint")
+    sizes = ended.groupBy("tree", "node").agg(F.sum("n").alias("n")).toPandas()
+    path = np.zeros(forest.feature.shape)
+    rows = sizes.loc[sizes["tree"] == 0, "n"].sum()
+    for tree, node, n in sizes.itertuples(index=False):
+        depth = (node + 1).bit_length() - 1
+        path[tree, node] = depth + _mean_path(n / rows * min(TREE_ROWS, rows))
+    return forest._replace(path=path)
+
+
+def cutoff(scored: DataFrame) -> float:
+    """The threshold of ``calibrated`` from a table of ``anomaly`` and ``good`` of any size.
+
+    The different scores are dealt to ranges and sorted there; one row per range tells the others
+    how many rows of either kind lie above it, and the least score of the next range.
+    """
+    good, bad = (F.sum(c.cast("bigint")) for c in (F.col("good"), ~F.col("good")))
+    marks = scored.groupBy("anomaly").agg(good.alias("good"), bad.alias("bad"))
+    ranges = materialize(marks, "marks").repartitionByRange("anomaly")
+    ranges = materialize(ranges.withColumn("range", F.spark_partition_id()), "ranges")
+    per_range = ranges.groupBy("range").agg(
+        F.sum("good").alias("good_in"), F.sum("bad").alias("bad_in"), F.min("anomaly").alias("least")
+    )
+    down = Window.orderBy(F.desc("range"))
+    before = down.rowsBetween(Window.unboundedPreceding, -1)
+    above = per_range.select(
+        "range",
+        F.coalesce(F.sum("good_in").over(before), F.lit(0)).alias("good_above"),
+        F.coalesce(F.sum("bad_in").over(before), F.lit(0)).alias("bad_above"),
+        F.lag("least").over(down).alias("after"),
+    )
+    total = per_range.agg(F.sum("good_in"), F.sum("bad_in")).first()
+    if not total[0] or not total[1]:
+        return math.inf
+    down = Window.partitionBy("range").orderBy(F.desc("anomaly"))
+    upto = down.rowsBetween(Window.unboundedPreceding, 0)
+    # One row per range, hence the broadcast. Rows at a score itself are not above it.
+    lost, caught = (
+        1 - (n - (F.col(f"{kind}_above") + F.sum(kind).over(upto) - F.col(kind))) / F.lit(n)
+        for kind, n in zip(("good", "bad"), total)
+    )
+    after = F.coalesce(F.lag("anomaly").over(down), "after", "anomaly")
+    judged = ranges.join(F.broadcast(above), "range").select(
+        "anomaly", after.alias("after"), lost.alias("lost"), (caught - lost).alias("worth")
+    )
+    # Halfway to the next score seen, so that the threshold lies between rows.
+    best = judged.where(F.col("lost") <= MOST_LOST).orderBy(F.desc("worth"), "anomaly").first()
+    return (best["anomaly"] + best["after"]) / 2
 
 
-def judge(counts: DataFrame, forest: Forest) -> DataFrame:
-    """Rows of ``statistics`` with ``base_failed``, the ``anomaly`` score and ``kept``: not failed
-    by the fixed rules and not above the forest's threshold."""
+def _anomaly(counts: DataFrame, forest: Forest) -> Column:
+    """The forest's score of rows of ``statistics``."""
     shared = counts.sparkSession.sparkContext.broadcast(forest)
 
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -245,7 +342,13 @@ def judge(counts: DataFrame, forest: Forest) -> DataFrame:
             frame = pd.DataFrame(dict(zip(_COUNTS, columns)))
             yield pd.Series(shared.value.scores(_features(frame)))
 
-    score = F.pandas_udf(run, "double")(*_COUNTS)
+    return F.pandas_udf(run, "double")(*_COUNTS)
+
+
+def judge(counts: DataFrame, forest: Forest) -> DataFrame:
+    """Rows of ``statistics`` with ``base_failed``, the ``anomaly`` score and ``kept``: not failed
+    by the fixed rules and not above the forest's threshold."""
+    score = _anomaly(counts, forest)
     others = [F.col(f"`{c}`") for c in counts.columns if c not in ("base_failed", "anomaly", "kept")]
     return counts.select(*others, base_failed().alias("base_failed"), score.alias("anomaly")).select(
         "*", (~F.col("base_failed") & (F.col("anomaly") <= forest.threshold)).alias("kept")
@@ -255,7 +358,7 @@ def judge(counts: DataFrame, forest: Forest) -> DataFrame:
 def judge_documents(
     docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id"
 ) -> DataFrame:
-    """``judge`` on whole documents by a forest fitted to their labelled rows. Texts are read once;
+    """``judge`` on whole documents by a forest fitted to all their labelled rows. Texts are read once;
     the counts are written. Empty tables give no rows; without labels only the fixed rules count."""
     counts = materialize(statistics(docs, text), "counts")
     return judge(counts, fit(counts, labels, id))

@@ -113,3 +113,39 @@ def test_sample_is_bounded(spark, judged):
     counts = Q.statistics(docs.select("doc_id", "text"))
     assert Q.fit(counts, labels, rows=0).threshold == float("inf")
     assert Q.fit(counts, labels, rows=300).threshold < 1
+
+
+def test_all_labelled_rows_teach(spark):
+    ids = spark.range(24_000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h")).toPandas()
+    ids = ids.sort_values("h", ignore_index=True)
+    random_ = np.random.default_rng(2)
+    n_words = random_.integers(50, 400, len(ids))
+    bad = ids.index >= 23_800  # the last by hash, beyond any bounded sample of less
+    counts = ids[["doc_id"]].assign(
+        n_words=n_words, word_chars=5 * n_words + random_.integers(0, 40, len(ids)),
+        n_symbols=np.where(bad, random_.integers(200, 2000, len(ids)), random_.integers(0, 3, len(ids))),
+        n_dup_lines=0, n_repeat_words=0, n_upper=random_.integers(0, 20, len(ids)),
+        n_marks=np.where(bad, random_.integers(100, 1000, len(ids)), 0), n_distinct=n_words // 2,
+    )
+    labels = ids[["doc_id"]].assign(quality=np.where(bad, 0, 1))
+    table = spark.createDataFrame(counts).repartition(5)
+    forest = Q.fit(table, spark.createDataFrame(labels))
+    features = Q._features(counts)
+    assert forest.threshold == Q.calibrated(forest, features, ~bad).threshold
+    assert (forest.scores(features[bad]) > forest.threshold).mean() > 0.7
+    root = next(forest.leaves(features))
+    shares = np.bincount(root, minlength=forest.feature.shape[1]) / len(ids)
+    depth = [(node + 1).bit_length() - 1 for node in range(len(shares))]
+    want = [d + Q._mean_path(256 * s) if s else 0 for d, s in zip(depth, shares)]
+    assert forest.path[0].tolist() == pytest.approx(want)
+
+
+def test_cutoff_equals_the_plain_one(spark):
+    random_ = np.random.default_rng(7)
+    for n, kinds in ((400, 2), (60, 2), (30, 1)):
+        values, good = random_.integers(0, n // 2, n) / 8, random_.integers(0, kinds, n) == 0
+        forest = Q.Forest(np.empty((0, 1)), np.empty((0, 1)), np.empty((0, 1)), float("inf"))
+        plain = type("Scored", (Q.Forest,), {"scores": lambda self, features: features})(*forest)
+        rows = spark.createDataFrame(list(zip(values.tolist(), good.tolist())), "anomaly double, good boolean")
+        assert Q.cutoff(rows) == Q.calibrated(plain, values, good).threshold
+    assert Q.cutoff(rows.limit(0)) == float("inf")
